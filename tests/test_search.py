@@ -1,0 +1,98 @@
+import random
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from viewstats.functions import keyword_category
+from viewstats.operators import dashboards, search
+from viewstats.schemas import KEYWORD_CATEGORIES
+
+SCHEMA = "user_id string, keyword string, _load_date string"
+
+
+@pytest.fixture(scope="module")
+def micro(spark):
+    june, july = "2022-06-10", "2022-07-31"
+    rows = [("u1", "VTV3", june)] * 2 + [("u1", "naruto", june), ("u1", "naruto", july),
+            ("u2", "a", june), ("u2", "b", june), ("u2", "hài", july), ("u3", "vtv", june),
+            ("u4", "kênh bóng đá", june), ("u4", "vtv", july),
+            (None, "vtv", june), ("u5", None, june), ("u5", "vtv", july),
+            ("u1", "boundary", "2022-05-31"), ("u1", "boundary", "2022-08-01")]
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def test_trending(micro):
+    rows = {tuple(r[c] for c in ("user_id", "most_search_june", "most_search_july", "category_june",
+                                 "category_july", "trending_type", "previous"))
+            for r in search.trending(micro).collect()}
+    assert rows == {
+        ("u1", "VTV3", "naruto", "TV", "Anime", "Changed", "TV; Anime"),
+        ("u2", "a", "hài", "Other", "Comedy", "Changed", "Other; Comedy"),
+        ("u2", "b", "hài", "Other", "Comedy", "Changed", "Other; Comedy"),
+        ("u4", "kênh bóng đá", "vtv", "TV", "TV", "Unchanged", "Unchanged"),
+    }
+
+
+def test_trending_of_other_months(micro):
+    df = search.trending(micro, ("2022-05", "2022-08"), ("may", "august"))
+    assert df.columns[:3] == ["user_id", "most_search_may", "most_search_august"]
+    assert [r["most_search_may"] for r in df.collect()] == ["boundary"]
+
+
+def test_month_filter_works_on_dates_too(micro):
+    dated = micro.withColumn("_load_date", F.col("_load_date").cast("date"))
+    assert search.in_month(dated, "2022-07").count() == search.in_month(micro, "2022-07").count() == 4
+
+
+def test_every_pattern_in_priority_order(spark):
+    """Brute force in Python over every pattern, in upper case and inside other text."""
+    words = [f"x {p.upper()} y" for _, patterns in KEYWORD_CATEGORIES for p in patterns]
+    words += [f"{a}{b}" for _, ps in KEYWORD_CATEGORIES for a in ps[:2]
+              for _, qs in KEYWORD_CATEGORIES for b in qs[:2]]
+    words += ["", "abc", "tom . jerry", "k drama", None, "v\ntv", "line\nvtv\nend"]
+
+    def expected(word):
+        low = (word or "").lower()
+        return next((c for c, ps in KEYWORD_CATEGORIES if any(p in low for p in ps)), "Other")
+
+    df = spark.createDataFrame([(w,) for w in words], "k string").withColumn(
+        "c", keyword_category(F.col("k")))
+    assert [(r["k"], r["c"]) for r in df.collect()] == [(w, expected(w)) for w in words]
+
+
+def brute_top(rows):
+    counts = Counter((u, k) for u, k, _ in rows if u is not None and k is not None)
+    best = {}
+    for (u, _), n in counts.items():
+        best[u] = max(best.get(u, 0), n)
+    return sorted((u, k) for (u, k), n in counts.items() if n == best[u])
+
+
+def test_top_keyword_with_a_hot_user(spark):
+    """One user holds a third of the rows, all with different keywords: all of them tie."""
+    rng = random.Random(1)
+    rows = [("hot", f"k{i}", "2022-06-01") for i in range(1000)]
+    rows += [(f"u{rng.randrange(200)}", f"k{rng.randrange(8)}", "2022-06-02") for _ in range(2000)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = sorted((r[0], r[1]) for r in search.top_keyword(df, "june").collect())
+    assert got == brute_top(rows) and sum(u == "hot" for u, _ in got) == 1000
+
+
+def test_top_keyword_plan_has_no_window(micro):
+    plan = search.top_keyword(micro, "june")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan
+
+
+@pytest.mark.parametrize("k", [1, 3, 10])
+def test_top_keywords_equal_rank(spark, k):
+    rng = random.Random(k)
+    rows = [(f"u{i}", f"k{min(rng.randrange(60), rng.randrange(60))}", f"2022-0{rng.choice([6, 7])}-05")
+            for i in range(1500)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    totals = df.groupBy(F.substring("_load_date", 1, 7).alias("month"), "keyword").agg(
+        F.count("*").alias("times"))
+    expected = totals.withColumn("rank", F.expr(
+        "rank() OVER (PARTITION BY month ORDER BY times DESC)")).where(F.col("rank") <= k)
+    got = dashboards.top_keywords(df, k).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, expected.collect()))

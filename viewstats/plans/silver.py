@@ -48,13 +48,13 @@ def run_content(spark: SparkSession, bronze_root: str, silver_root: str,
     earlier = None
     if start is not None:
         earlier = read_history(spark, silver_root, "contract_stats", CONTRACT_STATS, _before(start))
-    types = content.contract_type(stats)
     # Projections of stored day partitions: no shuffle before the write.
     write_silver({
         "contract_most_watch": content.most_watch(stats),
         "contract_taste": content.taste(stats),
-        "contract_type": types,
+        "contract_type": content.contract_type(stats),
     }, silver_root, rebalance=False)
+    types = read_table(spark, silver_root, "content", "contract_type", start, end)
     write_silver({
         "daily_summary": content.daily_summary(stats, content.platform_devices(bronze)),
         "contract_activeness": content.activeness_carried(stats, earlier),
