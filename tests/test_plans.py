@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from viewstats.functions import month_bounds, run_date
 from viewstats.operators import content, quality
-from viewstats.plans import bronze, gold, landing, ranges, silver
+from viewstats.operators.expectations import ExpectationError
+from viewstats.plans import bronze, chain, gold, landing, ranges, silver
 from viewstats.schemas import CONTRACT_STATS
 from viewstats.sources.layers import or_missing, read_day, read_history, read_table
 from viewstats.sources.paths import quarantine_path, table_path
@@ -243,3 +244,36 @@ def test_most_watch_of_a_stored_day_needs_no_shuffle(spark, roots):
     stats = read_table(spark, roots["silver"], "content", "contract_stats")
     for df in (content.most_watch(stats), content.taste(stats), content.unpivot_categories(stats)):
         assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_full_run_drops_days_that_bronze_lost(spark, roots, tmp_path):
+    through_bronze(spark, roots)
+    silver.run(spark, roots["bronze"], roots["silver"])
+    smaller = str(tmp_path / "smaller")
+    write_days(read_day(spark, roots["bronze"], "content", DAYS[0]), table_path(smaller, "content"))
+    silver.run(spark, smaller, roots["silver"], start=DAYS[0], end=DAYS[0])
+    assert read_table(spark, roots["silver"], "content", "daily_summary").count() == 3
+    silver.run(spark, smaller, roots["silver"])
+    for name in TABLES:
+        days = read_table(spark, roots["silver"], "content", name).select("_load_date").distinct()
+        assert [r[0] for r in days.collect()] == [DAYS[0]], name
+
+
+def test_chain(spark, roots):
+    drop_content(roots["drop"], DAYS)
+    layers = chain.Roots(roots["raw"], roots["bronze"], roots["silver"], roots["drop"])
+    assert chain.run(spark, layers, today="2022-04-02").count() == 1
+    assert chain.run(spark, layers, today="2022-04-04") is None  # 2022-04-03 has no file
+    assert chain.run(spark, layers, mode="date_range", start=DAYS[1], end=DAYS[2]).count() == 3
+    assert chain.run(spark, layers, mode="full").count() == 3
+
+
+def test_gold_fails_when_the_day_does_not_reconcile(spark, roots):
+    through_bronze(spark, roots)
+    silver.run(spark, roots["bronze"], roots["silver"])
+    stats = read_day(spark, roots["silver"], "content", DAYS[1], table="contract_stats").limit(3)
+    write_days(spark.createDataFrame(stats.collect(), stats.schema),
+               table_path(roots["silver"], "content", "contract_stats"))
+    gold.run(spark, roots["silver"], "content", DAYS[0])
+    with pytest.raises(ExpectationError, match="contracts_reconcile"):
+        gold.run(spark, roots["silver"], "content", DAYS[1])

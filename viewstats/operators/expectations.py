@@ -44,6 +44,14 @@ def contracts_reconcile(stats: DataFrame, summary: DataFrame, target_date=None)
     return seen.join(reported, LOAD_DATE).withColumn("matches", matches)
 
 
+def reconcile_checks(stats: DataFrame, summary: DataFrame, target_date=None) -> DataFrame:
+    """Days on which ``contracts_reconcile`` finds a difference, as a check."""
+    days = contracts_reconcile(stats, summary, target_date)
+    return days.agg(F.count_if(F.col("matches") == 0).alias("failures")).select(
+        F.lit("contracts_reconcile").alias("check"), F.lit("active_contracts").alias("column_name"),
+        "failures")
+
+
 def kpi_checks(kpis: DataFrame) -> DataFrame:
     return not_null(kpis, KPI_COLUMNS).unionByName(unique(kpis, "date"))
 

@@ -44,12 +44,21 @@ def materialize_incremental(spark: SparkSession, name: str, silver: DataFrame, p
     write_days(gold.contract_model(name, silver, target_date if exists else None), path, "date")
 
 
-def run(spark: SparkSession, silver_root: str, data_type: str = "content") -> DataFrame:
-    """Build and publish the view of a data type; raises when one of its checks fails."""
+def run(spark: SparkSession, silver_root: str, data_type: str = "content",
+        target_date=None) -> DataFrame:
+    """Build and publish the view of a data type; raises when one of its checks fails.
+
+    For content, a target date also reconciles that day's contracts with contract_stats.
+    """
     if data_type == "content":
         name = "gold_kpi_metrics"
-        model = gold.kpi_metrics(read_table(spark, silver_root, "content", "daily_summary"))
-        expectations.require(expectations.kpi_checks(model))
+        summary = read_table(spark, silver_root, "content", "daily_summary")
+        model = gold.kpi_metrics(summary)
+        checks = [expectations.kpi_checks(model)]
+        if target_date is not None:
+            stats = read_table(spark, silver_root, "content", "contract_stats", target_date, target_date)
+            checks.append(expectations.reconcile_checks(stats, summary, target_date))
+        expectations.require(*checks)
     elif data_type == "search":
         name = "gold_search_trending"
         model = gold.search_trending(read_table(spark, silver_root, "search", "search_trending"))

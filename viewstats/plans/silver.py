@@ -36,13 +36,17 @@ def run_content(spark: SparkSession, bronze_root: str, silver_root: str,
     """Fill the content tables for a range of days; None without bronze data.
 
     contract_stats is written once and the other tables are derived from the stored days. Active
-    days count all stored history up to each day.
+    days count all stored history up to each day, so after a day in the middle is changed, the days
+    that follow it have to be run again as well. Without a start and an end the tables are
+    replaced whole: days that bronze no longer has disappear.
     """
+    whole = start is None and end is None
     bronze = or_missing(lambda: read_table(
         spark, bronze_root, "content", start=start, end=end, schema=BRONZE_CONTENT))
     if bronze is None or bronze.isEmpty():
         return None
-    write_silver({"contract_stats": content.contract_stats(content.enrich(bronze))}, silver_root)
+    write_silver({"contract_stats": content.contract_stats(content.enrich(bronze))}, silver_root,
+                 whole_table=whole)
 
     stats = read_table(spark, silver_root, "content", "contract_stats", start, end, CONTRACT_STATS)
     earlier = None
@@ -53,13 +57,13 @@ def run_content(spark: SparkSession, bronze_root: str, silver_root: str,
         "contract_most_watch": content.most_watch(stats),
         "contract_taste": content.taste(stats),
         "contract_type": content.contract_type(stats),
-    }, silver_root, rebalance=False)
+    }, silver_root, rebalance=False, whole_table=whole)
     types = read_table(spark, silver_root, "content", "contract_type", start, end)
     write_silver({
         "daily_summary": content.daily_summary(stats, content.platform_devices(bronze)),
         "contract_activeness": content.activeness_carried(stats, earlier),
         "contract_clinginess": content.clinginess_as_of(types, earlier),
-    }, silver_root)
+    }, silver_root, whole_table=whole)
     return {name: table_path(silver_root, "content", name) for name in (
         "contract_stats", "daily_summary", "contract_most_watch", "contract_taste",
         "contract_type", "contract_activeness", "contract_clinginess")}
@@ -77,6 +81,7 @@ def run_search(spark: SparkSession, bronze_root: str, silver_root: str,
 
 def run(spark: SparkSession, bronze_root: str, silver_root: str, data_type: str = "content",
         start=None, end=None):
+    """Search always covers its two months, so a day range applies to content only."""
     if data_type == "content":
         return run_content(spark, bronze_root, silver_root, start, end)
     if data_type == "search":

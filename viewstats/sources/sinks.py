@@ -7,15 +7,16 @@ from viewstats.sources.paths import delete_path, quarantine_path, table_path
 
 
 def write_days(df: DataFrame, path: str, day_column: str = LOAD_DATE, rebalance: bool = True,
-               file_format: str = "parquet") -> None:
-    """Overwrite exactly the days present in ``df``.
+               file_format: str = "parquet", whole_table: bool = False) -> None:
+    """Overwrite exactly the days present in ``df``, or with ``whole_table`` every stored day.
 
     Shuffled frames hold every day in every task, so rows are first rebalanced by day: AQE then
     packs small days together and splits a day that is larger than the advisory partition size.
     Frames that were only projected from a day-partitioned table skip that shuffle.
     """
     rows = df.hint("rebalance", day_column) if rebalance else df
-    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    overwrite = "static" if whole_table else "dynamic"
+    (rows.write.mode("overwrite").option("partitionOverwriteMode", overwrite)
          .partitionBy(day_column).format(file_format).save(path))
 
 
@@ -35,9 +36,11 @@ def write_bronze(valid: DataFrame, invalid: DataFrame, root: str, data_type: str
     write_days(invalid, quarantine_path(root, data_type))
 
 
-def write_silver(tables: dict[str, DataFrame], root: str, rebalance: bool = True) -> None:
+def write_silver(tables: dict[str, DataFrame], root: str, rebalance: bool = True,
+                 whole_table: bool = False) -> None:
     for name, df in tables.items():
-        write_days(df, table_path(root, "content", name), rebalance=rebalance)
+        write_days(df, table_path(root, "content", name), rebalance=rebalance,
+                   whole_table=whole_table)
 
 
 def write_search_trending(trending: DataFrame, root: str) -> None:
