@@ -29,6 +29,8 @@ def main():
              .config("spark.sql.shuffle.partitions", cpus)
              .config("spark.driver.memory", "8g")
              .config("spark.sql.session.timeZone", "UTC")
+             # Recording the call site of every Column costs more than planning at this size.
+             .config("spark.python.sql.dataFrameDebugging.enabled", "false")
              .config("spark.ui.enabled", "false")
              .config("spark.ui.showConsoleProgress", "false")
              .getOrCreate())

@@ -81,6 +81,7 @@ def main():
     spark = (SparkSession.builder.master(f"local[{cpus}]").appName("viewstats-forms")
              .config("spark.sql.shuffle.partitions", cpus).config("spark.driver.memory", "8g")
              .config("spark.sql.session.timeZone", "UTC").config("spark.ui.enabled", "false")
+             .config("spark.python.sql.dataFrameDebugging.enabled", "false")
              .config("spark.ui.showConsoleProgress", "false").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     root = scratch_path(spark, "forms")

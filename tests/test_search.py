@@ -96,3 +96,31 @@ def test_top_keywords_equal_rank(spark, k):
         "rank() OVER (PARTITION BY month ORDER BY times DESC)")).where(F.col("rank") <= k)
     got = dashboards.top_keywords(df, k).collect()
     assert sorted(map(tuple, got)) == sorted(map(tuple, expected.collect()))
+
+
+def test_hot_ties_are_split_by_aqe(spark):
+    """With the thresholds scaled down to test size, the hot user's tie group is a skewed partition."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8KB",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1KB",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        # Two searches per keyword: the hot user's counts all tie at 2.
+        hot = spark.range(40000).select(
+            F.lit("hot").alias("user_id"), F.concat(F.lit("k"), (F.col("id") / 2).cast("int")).alias("keyword"))
+        cold = spark.range(80000).select(
+            F.concat(F.lit("u"), (F.col("id") % 900)).alias("user_id"),
+            F.concat(F.lit("k"), F.col("id") % 11).alias("keyword"))
+        df = search.top_keyword(hot.unionByName(cold), "june")
+        assert sum(r["user_id"] == "hot" for r in df.collect()) == 20000
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin(skew=true)" in plan
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)

@@ -10,6 +10,11 @@ def _rank(p: float, total: F.Column) -> F.Column:
     return F.greatest(F.ceil(total * F.lit(float(p))), F.lit(1).cast("long"))
 
 
+def _up_to(by: str, order: str):
+    return (Window.partitionBy(by).orderBy(order)
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+
+
 def discrete_quantiles(df: DataFrame, by: str, value: str, probs: dict[str, float]) -> DataFrame:
     """Per group the smallest value with at least ``p`` of the group's rows at or below it.
 
@@ -22,35 +27,28 @@ def discrete_quantiles(df: DataFrame, by: str, value: str, probs: dict[str, floa
     whatever the number of rows.
     """
     names = list(probs)
-    running = (Window.partitionBy(by).orderBy("_bucket")
-               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     histogram = (df.where(F.col(value).isNotNull())
                    .groupBy(by, F.col(value).alias("_value")).agg(F.count("*").alias("_rows"))
                    .withColumn("_bucket", F.shiftright("_value", _BUCKET_BITS)))
 
-    coarse = (histogram.groupBy(by, "_bucket").agg(F.sum("_rows").alias("_rows"))
-              .withColumn("_upto", F.sum("_rows").over(running))
-              .withColumn("_total", F.sum("_rows").over(Window.partitionBy(by))))
-    reached = [F.col("_upto") >= _rank(probs[n], F.col("_total")) for n in names]
+    coarse = histogram.groupBy(by, "_bucket").agg(F.sum("_rows").alias("_rows")).select(
+        by, "_bucket", F.sum("_rows").over(_up_to(by, "_bucket")).alias("_upto"),
+        F.sum("_rows").over(Window.partitionBy(by)).alias("_total"))
+    reached = {n: F.col("_upto") >= _rank(probs[n], F.col("_total")) for n in names}
     located = coarse.groupBy(by).agg(
         F.max("_total").alias("_total"),
-        *[F.min(F.when(ok, F.col("_bucket"))).alias(f"_bucket_{n}")
-          for n, ok in zip(names, reached)],
-        *[F.coalesce(F.max(F.when(~ok, F.col("_upto"))), F.lit(0)).alias(f"_below_{n}")
-          for n, ok in zip(names, reached)],
-    )
+        *[F.min(F.when(reached[n], F.col("_bucket"))).alias(f"_bucket_{n}") for n in names],
+        *[F.coalesce(F.max(F.when(~reached[n], F.col("_upto"))), F.lit(0)).alias(f"_below_{n}")
+          for n in names])
 
     # One row per group; groups are days, so this side is bounded by the calendar.
     candidates = histogram.join(F.broadcast(located), by).where(
         F.col("_bucket").isin([F.col(f"_bucket_{n}") for n in names]))
-    in_bucket = (Window.partitionBy(by).orderBy("_value")
-                 .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    for n in names:
-        mine = F.when(F.col("_bucket") == F.col(f"_bucket_{n}"), F.col("_rows"))
-        candidates = candidates.withColumn(
-            f"_upto_{n}", F.col(f"_below_{n}") + F.sum(mine).over(in_bucket))
-    return candidates.groupBy(by).agg(*[
-        F.min(F.when((F.col("_bucket") == F.col(f"_bucket_{n}"))
-                     & (F.col(f"_upto_{n}") >= _rank(probs[n], F.col("_total"))),
-                     F.col("_value"))).alias(n)
+    inside = {n: F.col("_bucket") == F.col(f"_bucket_{n}") for n in names}
+    counted = candidates.select("*", *[
+        F.sum(F.when(inside[n], F.col("_rows"))).over(_up_to(by, "_value")).alias(f"_inside_{n}")
         for n in names])
+    found = {n: inside[n] & (F.col(f"_below_{n}") + F.col(f"_inside_{n}")
+                             >= _rank(probs[n], F.col("_total"))) for n in names}
+    return counted.groupBy(by).agg(*[
+        F.min(F.when(found[n], F.col("_value"))).alias(n) for n in names])
