@@ -163,6 +163,16 @@ def test_search_bronze_keeps_extra_columns_and_duplicates(spark, roots):
     assert read_table(spark, roots["bronze"], "search_quarantine").count() == 1
 
 
+def test_search_columns_may_differ_between_days(spark, roots):
+    for day, extra in (("2022-06-01", "a"), ("2022-06-02", "b")):
+        spark.createDataFrame([("u", "k", 1)], f"user_id string, keyword string, {extra} int").write.parquet(
+            table_path(roots["raw"], "search", day=day))
+    bronze.run(spark, roots["raw"], roots["bronze"], "search")
+    stored = read_table(spark, roots["bronze"], "search").select("a", "b", "_load_date").collect()
+    assert sorted(map(str, stored)) == [
+        "Row(a=1, b=None, _load_date='2022-06-01')", "Row(a=None, b=1, _load_date='2022-06-02')"]
+
+
 TABLES = ["contract_stats", "daily_summary", "contract_most_watch", "contract_taste",
           "contract_type", "contract_activeness", "contract_clinginess"]
 

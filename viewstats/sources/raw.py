@@ -39,7 +39,8 @@ def read_content(spark: SparkSession, root: str, start=None, end=None) -> DataFr
 
 def read_search(spark: SparkSession, root: str, start=None, end=None) -> DataFrame:
     """Search rows with whatever columns the files carry, plus the load date."""
-    return _in_range(spark.read.parquet(table_path(root, "search")), start, end)
+    reader = spark.read.option("mergeSchema", "true")
+    return _in_range(reader.parquet(table_path(root, "search")), start, end)
 
 
 _READERS = {"content": read_content, "search": read_search}
