@@ -105,13 +105,13 @@ def with_activeness(rows: DataFrame, earlier: DataFrame | None = None,
                     count_own_day: bool = True) -> DataFrame:
     """Add how many days each contract was active up to that day.
 
-    ``rows`` has one row per contract and day. ``earlier`` is the history before the first of
-    those days; it is combined to one row per contract before it is shuffled with the rest. A
-    contract has at most one row per day, so no window partition outgrows the calendar.
+    ``rows`` and ``earlier``, the history before the first of those days, have one row per contract
+    and day. The history is combined to one row per contract before it is shuffled with the rest,
+    and no window partition outgrows the calendar.
     """
     counted = rows.withColumn("_days", F.lit(1).cast("long"))
     if earlier is not None:
-        before = earlier.groupBy("contract").agg(F.count_distinct(LOAD_DATE).alias("_days"))
+        before = earlier.groupBy("contract").agg(F.count(LOAD_DATE).alias("_days"))
         counted = counted.unionByName(before, allowMissingColumns=True)
     upto = (Window.partitionBy("contract").orderBy(F.col(LOAD_DATE).asc_nulls_first())
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
@@ -162,7 +162,7 @@ def activeness_carried(stats: DataFrame, earlier: DataFrame | None = None,
     last_day = present.agg(F.max(LOAD_DATE)).scalar().cast("date")
     counted = stats.select(*KEYS).withColumn("_days", F.lit(1).cast("long"))
     if earlier is not None:
-        before = earlier.groupBy("contract").agg(F.count_distinct(LOAD_DATE).alias("_days"))
+        before = earlier.groupBy("contract").agg(F.count(LOAD_DATE).alias("_days"))
         counted = counted.unionByName(before, allowMissingColumns=True)
     by_day = Window.partitionBy("contract").orderBy(F.col(LOAD_DATE).asc_nulls_first())
     upto = by_day.rowsBetween(Window.unboundedPreceding, Window.currentRow)
