@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from viewstats.llm import chat, decontamination, exact_dedup, mixing, sharding, token_ids, warc
+from viewstats.llm import chat, decontamination, exact_dedup, jaccard_join, mixing, sharding, token_ids, warc
 from viewstats.llm.common import scratch, table, text_bytes, whole
 
 
@@ -57,6 +57,13 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumnsRenamed({"key": "doc_id", "item": "item_id"})
 
 
+def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents whose sets of three-word shingles are 90 % alike, joined to components."""
+    return jaccard_join.link_sets(table(spark, sf_dir, "documents"), words=3, percent=90).select(
+        F.col("key").alias("doc_id"), F.col("size").alias("n_shingles"),
+        F.col("component").alias("component_id"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sources weighing 5, 2, 1 by turns share 150 % of all words, none above twice its size."""
     return mixing.mix(table(spark, sf_dir, "documents"), mixing.cycled_weights([5, 2, 1]),
@@ -82,6 +89,7 @@ QUERIES = {
     "op10_chat_formatting": op10_chat_formatting,
     "op2_sharding": op2_sharding,
     "op3_exact_dedup": op3_exact_dedup,
+    "op6_ngram_jaccard": op6_ngram_jaccard,
     "op7_mixing": op7_mixing,
 }
 
