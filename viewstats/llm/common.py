@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import sys
+import types
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,3 +57,30 @@ def cut(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(scratch_root(df.sparkSession))
     return df.checkpoint()
+
+
+class Memo(dict):
+    """Remembers what `make` gives for the latest keys, between `most` and twice as many of them."""
+
+    def __init__(self, make: Callable, most: int = 200_000):
+        super().__init__()
+        self.make, self.most, self.older = make, most, {}
+
+    def __missing__(self, key):
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= self.most:
+            self.older = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
+def kept(name: str, make: Callable):
+    """What `make` gives, made once per Python process. Every task unpickles this package anew, so what
+    is to outlive a task lies in a module of its own."""
+    home = sys.modules.setdefault("viewstats_kept", types.ModuleType("viewstats_kept"))
+    if not hasattr(home, name):
+        setattr(home, name, make())
+    return getattr(home, name)

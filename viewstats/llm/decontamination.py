@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from viewstats.llm.common import whole, word_count
+from viewstats.llm.common import Memo, whole, word_count
 
 WINDOW = 13
 IDENTITY = 0.8
@@ -29,7 +29,6 @@ IDENTITY = 0.8
 MASKS = ["11101111", "11110010011", "10111111"]
 BLOCK_TOKENS = 200_000
 TABLE_BITS = 20
-REMEMBERED = 300_000
 BATCH_TOKENS = 1 << 20
 EDGE = re.compile(r"^[\W_]+|[\W_]+$")
 
@@ -39,20 +38,6 @@ def tokens(text: str | None) -> list[str]:
     return [EDGE.sub("", word) for word in (text or "").lower().split()]
 
 
-class _Numbers(dict):
-    """Number of a raw word: that of its token in the benchmark block, or 0."""
-
-    def __init__(self, vocabulary: dict[str, int]):
-        super().__init__()
-        self.vocabulary = vocabulary
-
-    def __missing__(self, word: str) -> int:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        number = self[word] = self.vocabulary.get(EDGE.sub("", word), 0)
-        return number
-
-
 def _mixed(values: np.ndarray, cared: list[int], salt: int) -> np.ndarray:
     """Hashes of all windows under a mask that looks at the offsets `cared`."""
     n = len(values) - cared[-1]
@@ -81,7 +66,8 @@ class Block:
         vocabulary: dict[str, int] = {}
         self.items = [np.array([vocabulary.setdefault(w, len(vocabulary) + 1) for w in words], np.int64)
                       for _, words in texts if words]
-        self.numbers = _Numbers(vocabulary)
+        # Number of a raw word: that of its token in this block, or 0.
+        self.numbers = Memo(lambda word: vocabulary.get(EDGE.sub("", word), 0))
         # Scrambled numbers for the hashes; 0, a word of no item, is told from all of them.
         self.codes = np.arange(len(vocabulary) + 1, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)
         found: dict[tuple[int, ...], list] = {}

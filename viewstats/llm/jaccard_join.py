@@ -29,31 +29,20 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from viewstats.llm.common import cut, whole
+from viewstats.llm.common import Memo, cut, kept, whole
 from viewstats.llm.components import components
 
-REMEMBERED = 300_000
 LIGHT_MOST = 40  # sizes considered for the light side
 SUBSET_COST = 2.0  # of a listed subset, in scanned list entries
 FIRST_HUBS, MORE_HUBS = 8, 16
 MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 
 
-class _Hashes(dict):
-    """Hash of a word."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
-
-
 class Shingler:
     """Sets of distinct n-grams of a text's words as sorted hashes."""
 
     def __init__(self, n: int):
-        self.n, self.hashes = n, _Hashes()
+        self.n, self.hashes = n, kept("word_hashes", lambda: Memo(xxhash.xxh3_64_intdigest))
 
     def __call__(self, text: bytes) -> np.ndarray:
         words = text.lower().split()  # of bytes: A-Z and the six ASCII space characters alone
