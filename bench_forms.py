@@ -13,43 +13,24 @@ from pyspark.sql import SparkSession, Window, functions as F
 
 from viewstats.operators import content, quality, search
 from viewstats.registry import adapters
-from viewstats.schemas import BRONZE_CONTENT, CATEGORY_LABELS, LOAD_DATE, STATS_CATEGORIES
+from viewstats.registry.scratch import scratch_path
+from viewstats.schemas import BRONZE_CONTENT, LOAD_DATE
 from viewstats.sources.layers import read_table
-from viewstats.sources.paths import scratch_path, table_path
+from viewstats.sources.paths import table_path
 from viewstats.sources.sinks import write_days
 
 KEYS = content.KEYS
 
 
-def pivot_then_join(bronze):
+def two_aggregates_joined(bronze):
+    """contract_stats from its two library aggregates."""
     enriched = content.enrich(bronze)
-    sums = (content.duration_by_category(enriched).groupBy(*KEYS).pivot("type", STATS_CATEGORIES)
-            .agg(F.sum("duration_by_category")).fillna(0))
-    return sums.join(content.devices_per_contract(enriched), KEYS)
+    return content.duration_by_category(enriched).join(content.devices_per_contract(enriched), KEYS)
 
 
-def rank_of_unions(stats):
-    branches = [stats.select(*KEYS, F.col(c).alias("d"), F.lit(label).alias("most_watch"))
-                for c, label in CATEGORY_LABELS.items()]
-    rows = branches[0]
-    for branch in branches[1:]:
-        rows = rows.union(branch)
-    ranked = rows.withColumn("r", F.rank().over(Window.partitionBy(*KEYS).orderBy(F.desc("d"))))
-    return ranked.where("r = 1").select("contract", "most_watch", LOAD_DATE)
-
-
-def quantile_job_per_day(stats):
-    totals = content.viewing_totals(stats)
-    parts = []
-    for (day,) in totals.select(LOAD_DATE).distinct().collect():
-        one = totals.where(F.col(LOAD_DATE) == day)
-        q1, q3 = one.approxQuantile("total_duration", [0.25, 0.75], 0.0)
-        parts.append(one.withColumn("type", F.when(F.col("total_duration") < q1, "Low").when(
-            F.col("total_duration") > q3, "High").otherwise("Medium")))
-    rows = parts[0]
-    for part in parts[1:]:
-        rows = rows.union(part)
-    return rows
+def rank_of_unpivoted(stats):
+    best = Window.partitionBy(*KEYS).orderBy(F.desc("total_duration"))
+    return content.unpivot_categories(stats).withColumn("r", F.rank().over(best)).where("r = 1")
 
 
 def percentile_disc(stats):
@@ -75,6 +56,16 @@ def join_segments(stats):
     return content.clinginess(content.contract_type(stats), content.activeness(stats, "as_of"))
 
 
+def hot_user(spark, tied):
+    """Three million searches, a third of them by one user for a million keywords, all as often or not."""
+    keyword = F.col("id") if tied else F.floor(F.col("id") / (1 + F.col("id") % 2))
+    hot = spark.range(1_000_000).select(
+        F.lit("hot").alias("user_id"), F.concat(F.lit("k"), keyword).alias("keyword"))
+    return hot.unionByName(spark.range(2_000_000).select(
+        F.concat(F.lit("u"), F.col("id") % 50_000).alias("user_id"),
+        F.concat(F.lit("k"), F.col("id") % 997).alias("keyword")))
+
+
 def main():
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -93,18 +84,21 @@ def main():
     june = search.in_month(read_table(spark, root, "search"), "2022-06")
     forms = {
         "contract_stats": lambda: content.contract_stats(content.enrich(bronze)),
-        "contract_stats/pivot_then_join": lambda: pivot_then_join(bronze),
+        "contract_stats/two_aggregates_joined": lambda: two_aggregates_joined(bronze),
         "most_watch": lambda: content.most_watch(stats),
-        "most_watch/rank_of_unions": lambda: rank_of_unions(stats),
+        "most_watch/rank_of_unpivoted": lambda: rank_of_unpivoted(stats),
         "contract_type": lambda: content.contract_type(stats),
         "contract_type/percentile_disc": lambda: percentile_disc(stats),
-        "contract_type/quantile_job_per_day": lambda: quantile_job_per_day(stats),
         "clinginess": lambda: content.clinginess_as_of(content.contract_type(stats)),
         "clinginess/join": lambda: join_segments(stats),
         "dq_rule_profile": lambda: quality.rule_profile(bronze, quality.content_rules()),
         "dq_rule_profile/count_per_rule": lambda: count_per_rule(bronze),
         "top_keyword": lambda: search.top_keyword(june, "june"),
         "top_keyword/rank_window": lambda: rank_window(june),
+        "top_keyword/mixed_hot": lambda: search.top_keyword(hot_user(spark, False), "june"),
+        "top_keyword/mixed_hot/rank_window": lambda: rank_window(hot_user(spark, False)),
+        "top_keyword/tied_hot": lambda: search.top_keyword(hot_user(spark, True), "june"),
+        "top_keyword/tied_hot/rank_window": lambda: rank_window(hot_user(spark, True)),
     }
     seconds = {}
     for name, build in forms.items():

@@ -69,19 +69,22 @@ def brute_top(rows):
     return sorted((u, k) for (u, k), n in counts.items() if n == best[u])
 
 
-def test_top_keyword_with_a_hot_user(spark):
+@pytest.mark.parametrize("split_ties", [True, False])
+def test_top_keyword_with_a_hot_user(spark, split_ties):
     """One user holds a third of the rows, all with different keywords: all of them tie."""
     rng = random.Random(1)
     rows = [("hot", f"k{i}", "2022-06-01") for i in range(1000)]
     rows += [(f"u{rng.randrange(200)}", f"k{rng.randrange(8)}", "2022-06-02") for _ in range(2000)]
     df = spark.createDataFrame(rows, SCHEMA)
-    got = sorted((r[0], r[1]) for r in search.top_keyword(df, "june").collect())
+    got = sorted((r[0], r[1]) for r in search.top_keyword(df, "june", split_ties).collect())
     assert got == brute_top(rows) and sum(u == "hot" for u, _ in got) == 1000
 
 
-def test_top_keyword_plan_has_no_window(micro):
-    plan = search.top_keyword(micro, "june")._jdf.queryExecution().optimizedPlan().toString()
-    assert "Window" not in plan
+def test_trending_plan_limits_before_the_shuffle(micro):
+    """Four shuffles and one join: the counts and the ranks of two months; losers of a task stay in it."""
+    plan = search.trending(micro)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 4 and plan.count("Join") == 1
+    assert plan.count("WindowGroupLimit") >= 2
 
 
 @pytest.mark.parametrize("k", [1, 3, 10])

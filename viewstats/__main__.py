@@ -4,6 +4,7 @@ import argparse
 
 from pyspark.sql import SparkSession
 
+from viewstats.operators.search import MONTH_LABELS, MONTHS
 from viewstats.plans.chain import Roots, run
 
 
@@ -14,13 +15,17 @@ def main(argv=None):
     parser.add_argument("--start")
     parser.add_argument("--end")
     parser.add_argument("--drop", help="folder with new day files to land first")
-    for layer in ("raw", "bronze", "silver"):
+    for layer in ("raw", "bronze", "silver", "gold"):
         parser.add_argument(f"--{layer}", required=True)
     parser.add_argument("--on-exceeded", default="raise", choices=["raise", "hold"])
+    parser.add_argument("--activeness", default="as_of", choices=["as_of", "prior", "snapshot"])
+    parser.add_argument("--months", nargs=2, default=MONTHS, metavar="yyyy-MM")
+    parser.add_argument("--labels", nargs=2, default=MONTH_LABELS, help="names of the two months in columns")
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName(f"viewstats-{args.data_type}").getOrCreate()
-    view = run(spark, Roots(args.raw, args.bronze, args.silver, args.drop), args.data_type, args.mode,
-               args.start, args.end, on_exceeded=args.on_exceeded)
+    view = run(spark, Roots(args.raw, args.bronze, args.silver, args.gold, args.drop), args.data_type,
+               args.mode, args.start, args.end, on_exceeded=args.on_exceeded, activeness=args.activeness,
+               months=tuple(args.months), labels=tuple(args.labels))
     if view is None:
         print("no data for this range")
     else:

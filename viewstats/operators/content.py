@@ -7,6 +7,14 @@ from viewstats.operators.quantiles import discrete_quantiles
 from viewstats.schemas import CATEGORY_LABELS, LOAD_DATE, STATS_CATEGORIES, SUMMARY_CATEGORIES
 
 KEYS = ["contract", LOAD_DATE]
+ACTIVE_DAYS = "_days"
+
+
+def _earlier_days(earlier: DataFrame) -> DataFrame:
+    """contract and its active days, from counts already made or from one row per active day."""
+    if ACTIVE_DAYS in earlier.columns:
+        return earlier.select("contract", ACTIVE_DAYS)
+    return earlier.groupBy("contract").agg(F.count(LOAD_DATE).alias(ACTIVE_DAYS))
 
 
 def enrich(bronze: DataFrame) -> DataFrame:
@@ -94,8 +102,9 @@ def usage_quartiles(totals: DataFrame) -> DataFrame:
 def contract_type(stats: DataFrame, quartiles: DataFrame | None = None) -> DataFrame:
     """Low below the day's first quartile, High above the third, else Medium."""
     totals = viewing_totals(stats)
-    # One row per day: bounded by the calendar, so it is safe to broadcast.
-    limits = F.broadcast(quartiles if quartiles is not None else usage_quartiles(totals))
+    limits = quartiles
+    if limits is None:  # one row per day: bounded by the calendar, so it is safe to broadcast
+        limits = F.broadcast(usage_quartiles(totals))
     level = usage_level(F.col("total_duration"), F.col("q1"), F.col("q3"))
     return (totals.join(limits, LOAD_DATE)
             .select(*KEYS, "total_duration", level.alias("type")))
@@ -105,14 +114,14 @@ def with_activeness(rows: DataFrame, earlier: DataFrame | None = None,
                     count_own_day: bool = True) -> DataFrame:
     """Add how many days each contract was active up to that day.
 
-    ``rows`` and ``earlier``, the history before the first of those days, have one row per contract
-    and day. The history is combined to one row per contract before it is shuffled with the rest,
-    and no window partition outgrows the calendar.
+    ``rows`` has one row per contract and day. ``earlier``, the history before the first of those
+    days, has the same or one row per contract with its number of active days (``ACTIVE_DAYS``); it is
+    one row per contract before it is shuffled with the rest, and no window partition outgrows the
+    calendar.
     """
     counted = rows.withColumn("_days", F.lit(1).cast("long"))
     if earlier is not None:
-        before = earlier.groupBy("contract").agg(F.count(LOAD_DATE).alias("_days"))
-        counted = counted.unionByName(before, allowMissingColumns=True)
+        counted = counted.unionByName(_earlier_days(earlier), allowMissingColumns=True)
     upto = (Window.partitionBy("contract").orderBy(F.col(LOAD_DATE).asc_nulls_first())
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     activeness = F.sum("_days").over(upto)
@@ -143,6 +152,8 @@ def activeness(stats: DataFrame, mode: str = "as_of", earlier: DataFrame | None
         return (with_activeness(keys, earlier, count_own_day=False)
                 .where(F.col("activeness") > 0).select("contract", "activeness", LOAD_DATE))
     if mode == "snapshot":
+        if earlier is not None and ACTIVE_DAYS in earlier.columns:
+            raise ValueError("a snapshot counts days; it cannot start from counts")
         stored = keys if earlier is None else keys.unionByName(earlier.select(*KEYS))
         counts = stored.groupBy("contract").agg(F.count_distinct(LOAD_DATE).alias("activeness"))
         return keys.join(counts, "contract").select("contract", "activeness", LOAD_DATE)
@@ -162,8 +173,7 @@ def activeness_carried(stats: DataFrame, earlier: DataFrame | None = None,
     last_day = present.agg(F.max(LOAD_DATE)).scalar().cast("date")
     counted = stats.select(*KEYS).withColumn("_days", F.lit(1).cast("long"))
     if earlier is not None:
-        before = earlier.groupBy("contract").agg(F.count(LOAD_DATE).alias("_days"))
-        counted = counted.unionByName(before, allowMissingColumns=True)
+        counted = counted.unionByName(_earlier_days(earlier), allowMissingColumns=True)
     by_day = Window.partitionBy("contract").orderBy(F.col(LOAD_DATE).asc_nulls_first())
     upto = by_day.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     held = counted.select(

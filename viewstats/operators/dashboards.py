@@ -2,6 +2,7 @@
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from viewstats.operators.search import MONTH_LABELS
 from viewstats.schemas import CATEGORY_LABELS, LOAD_DATE, SUMMARY_CATEGORIES
 
 
@@ -31,8 +32,8 @@ def taste_matrix(tastes: DataFrame) -> DataFrame:
     return tastes.groupBy(LOAD_DATE, "taste").agg(F.count("*").alias("contracts"))
 
 
-def category_transitions(trending: DataFrame) -> DataFrame:
-    return trending.groupBy("category_june", "category_july").agg(F.count("*").alias("n"))
+def category_transitions(trending: DataFrame, labels: tuple[str, str] = MONTH_LABELS) -> DataFrame:
+    return trending.groupBy(*[f"category_{x}" for x in labels]).agg(F.count("*").alias("n"))
 
 
 def changed_split(trending: DataFrame) -> DataFrame:

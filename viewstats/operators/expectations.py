@@ -4,7 +4,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from viewstats.operators.gold import KPI_COLUMNS, TRENDING_COLUMNS, on_day
+from viewstats.operators.gold import KPI_COLUMNS, on_day
 from viewstats.schemas import LOAD_DATE
 
 TRENDING_VALUES = ["Changed", "Unchanged"]
@@ -36,12 +36,13 @@ def accepted_values(df: DataFrame, column: str, values: list[str]) -> DataFrame:
 
 
 def contracts_reconcile(stats: DataFrame, summary: DataFrame, target_date=None) -> DataFrame:
-    """Per day: do the distinct contracts of contract_stats equal the summary's active contracts?"""
+    """Per day: do the distinct contracts of contract_stats equal the summary's active contracts?
+    A day that only one of the two has does not match."""
     seen = (on_day(stats, target_date).where(F.col("contract").isNotNull())
             .groupBy(LOAD_DATE).agg(F.count_distinct(F.trim("contract")).alias("total_dau")))
     reported = on_day(summary, target_date).select(LOAD_DATE, "active_contracts")
-    matches = (F.col("total_dau") == F.col("active_contracts")).cast("int")
-    return seen.join(reported, LOAD_DATE).withColumn("matches", matches)
+    matches = F.coalesce(F.col("total_dau") == F.col("active_contracts"), F.lit(False)).cast("int")
+    return seen.join(reported, LOAD_DATE, "full_outer").withColumn("matches", matches)
 
 
 def reconcile_checks(stats: DataFrame, summary: DataFrame, target_date=None) -> DataFrame:
@@ -61,7 +62,7 @@ def contract_checks(model: DataFrame) -> DataFrame:
 
 
 def trending_checks(trending: DataFrame) -> DataFrame:
-    return not_null(trending, TRENDING_COLUMNS).unionByName(
+    return not_null(trending, trending.columns).unionByName(
         accepted_values(trending, "trending_type", TRENDING_VALUES))
 
 

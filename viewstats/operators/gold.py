@@ -3,6 +3,8 @@
 from pyspark.sql import DataFrame, functions as F
 
 from viewstats.functions import run_date
+from viewstats.functions.dates import load_date_range
+from viewstats.operators.search import MONTH_LABELS
 from viewstats.schemas import LOAD_DATE, SUMMARY_CATEGORIES
 
 # Gold model -> silver columns it passes on, besides contract and date.
@@ -15,8 +17,18 @@ CONTRACT_MODELS = {
 }
 
 KPI_COLUMNS = ["date", "total_duration", "active_contracts", "unique_devices", "avg_session_duration"]
-TRENDING_COLUMNS = ["user_id", "most_search_june", "category_june", "most_search_july",
-                    "category_july", "trending_type", "previous"]
+
+
+def trending_columns(labels: tuple[str, str] = MONTH_LABELS) -> list[str]:
+    months = [f"{column}_{label}" for label in labels for column in ("most_search", "category")]
+    return ["user_id", *months, "trending_type", "previous"]
+
+
+TRENDING_COLUMNS = trending_columns()
+
+
+def in_days(df: DataFrame, start=None, end=None) -> DataFrame:
+    return df.where(load_date_range(F.col(LOAD_DATE), start, end))
 
 
 def on_day(df: DataFrame, target_date=None) -> DataFrame:
@@ -42,6 +54,7 @@ def contract_model(name: str, silver: DataFrame, target_date=None) -> DataFrame:
         "contract", F.col(LOAD_DATE).cast("date").alias("date"), *CONTRACT_MODELS[name])
 
 
-def search_trending(silver: DataFrame) -> DataFrame:
+def search_trending(silver: DataFrame, labels: tuple[str, str] = MONTH_LABELS) -> DataFrame:
     return silver.select(
-        F.left(F.col("user_id").cast("string"), F.lit(50)).alias("user_id"), *TRENDING_COLUMNS[1:])
+        F.left(F.col("user_id").cast("string"), F.lit(50)).alias("user_id"),
+        *trending_columns(labels)[1:])

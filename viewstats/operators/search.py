@@ -1,10 +1,14 @@
 """Top keywords per user and month, and the shift of interest between two months."""
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from viewstats.functions import keyword_category, month_bounds
 from viewstats.schemas import LOAD_DATE
 
+MONTHS = ("2022-06", "2022-07")
+MONTH_LABELS = ("june", "july")
+TIE_SALTS = 32
+
 
 def in_month(df: DataFrame, month: str) -> DataFrame:
     """Rows of one month (``yyyy-MM``), as a half-open date range that prunes day partitions."""
@@ -17,27 +21,44 @@ def keyword_counts(df: DataFrame) -> DataFrame:
               .groupBy("user_id", "keyword").agg(F.count("*").alias("times")))
 
 
-def top_keyword(df: DataFrame, label: str) -> DataFrame:
+def _winners(counts: DataFrame) -> DataFrame:
+    """Each user's most frequent keywords by rank. Spark limits every task to its own winners before
+    the shuffle, so what meets per user is the ties and each task's best."""
+    by_user = Window.partitionBy("user_id").orderBy(F.col("times").desc())
+    return counts.withColumn("_rank", F.rank().over(by_user)).where("_rank = 1").drop("_rank")
+
+
+def _split_winners(counts: DataFrame) -> DataFrame:
+    """The same rows without bringing a user's ties into one task: winners of each (user, salt) are
+    kept, then joined with the user's highest count, a join whose large partitions AQE splits."""
+    salted = counts.withColumn("_salt", F.pmod(F.xxhash64("keyword"), F.lit(TIE_SALTS)))
+    by_salt = Window.partitionBy("user_id", "_salt").orderBy(F.col("times").desc())
+    best = salted.withColumn("_rank", F.rank().over(by_salt)).where("_rank = 1").drop("_rank", "_salt")
+    highest = best.groupBy("user_id").agg(F.max("times").alias("times"))
+    return best.join(highest, ["user_id", "times"])
+
+
+def top_keyword(df: DataFrame, label: str, split_ties: bool = True) -> DataFrame:
     """Each user's most frequent keywords, all ties kept.
 
-    A rank window would bring every keyword of a user into one task. The highest count per user is
-    an aggregate instead, joined back on (user, count): rows of a heavy user spread by count, and
-    what still shares a key is the tie itself, which AQE can split.
+    ``split_ties`` spreads a user whose keywords all tie over many tasks. It costs two small shuffles
+    and pays where the ties are not joined by user anyway.
     """
     counts = keyword_counts(df)
-    highest = counts.groupBy("user_id").agg(F.max("times").alias("times"))
-    return (counts.join(highest, ["user_id", "times"])
-            .select("user_id", F.col("keyword").alias(f"most_search_{label}")))
+    winners = _split_winners(counts) if split_ties else _winners(counts)
+    return winners.select("user_id", F.col("keyword").alias(f"most_search_{label}"))
 
 
-def trending(df: DataFrame, months: tuple[str, str] = ("2022-06", "2022-07"),
-             labels: tuple[str, str] = ("june", "july")) -> DataFrame:
+def trending(df: DataFrame, months: tuple[str, str] = MONTHS,
+             labels: tuple[str, str] = MONTH_LABELS) -> DataFrame:
     """Top keywords of both months side by side, their categories and whether these differ.
 
-    Keywords are classified before the join, once per top keyword and not once per joined pair.
+    Keywords are classified before the join, once per top keyword and not once per joined pair. The
+    ranks leave both months partitioned by user, so the join needs no shuffle of its own; it pairs
+    every tie of one month with every tie of the other, by definition.
     """
     first, second = [
-        top_keyword(in_month(df, month), label).withColumn(
+        top_keyword(in_month(df, month), label, split_ties=False).withColumn(
             f"category_{label}", keyword_category(F.col(f"most_search_{label}")))
         for month, label in zip(months, labels)]
     before, after = [F.col(f"category_{label}") for label in labels]

@@ -4,6 +4,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from viewstats.operators import quality
+from viewstats.operators.search import MONTH_LABELS, MONTHS
 from viewstats.plans import bronze, gold, landing, silver
 from viewstats.plans.ranges import day_range
 
@@ -13,16 +15,23 @@ class Roots:
     raw: str
     bronze: str
     silver: str
+    gold: str
     drop: str | None = None
 
 
 def run(spark: SparkSession, roots: Roots, data_type: str = "content", mode: str = "incremental",
-        start=None, end=None, today=None, on_exceeded: str = "raise") -> DataFrame | None:
-    """Land, check, aggregate and publish a range of days; None when no layer has data for it."""
+        start=None, end=None, today=None, on_exceeded: str = "raise", activeness: str = "as_of",
+        months: tuple[str, str] = MONTHS, labels: tuple[str, str] = MONTH_LABELS) -> DataFrame | None:
+    """Land, check, aggregate and publish a range of days; None when no layer has data for it.
+
+    With ``on_exceeded="hold"`` the days over their limit stay out, all others go through every layer,
+    and the error for the held days is raised at the end.
+    """
     start, end = day_range(mode, start, end, today)
     if roots.drop is not None:
         landing.land(spark, roots.drop, roots.raw, data_type, start, end)
-    bronze.run(spark, roots.raw, roots.bronze, data_type, start, end, on_exceeded)
-    if silver.run(spark, roots.bronze, roots.silver, data_type, start, end) is None:
-        return None
-    return gold.run(spark, roots.silver, data_type, end if data_type == "content" else None)
+    report = bronze.run(spark, roots.raw, roots.bronze, data_type, start, end, on_exceeded)
+    filled = silver.run(spark, roots.bronze, roots.silver, data_type, start, end, activeness, months, labels)
+    published = gold.run(spark, roots.silver, roots.gold, data_type, start, end, labels)
+    quality.refuse(bronze.held(report or []))
+    return None if filled is None else published

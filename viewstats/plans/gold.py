@@ -3,8 +3,11 @@
 from pyspark.sql import DataFrame, SparkSession
 
 from viewstats.operators import expectations, gold
+from viewstats.operators.search import MONTH_LABELS
 from viewstats.sources.layers import or_missing, read_table
-from viewstats.sources.sinks import write_days
+from viewstats.sources.sinks import clear_range, write_days, write_table
+
+DATE = "date"
 
 # SQL name -> (data type, silver table).
 SILVER_SOURCES = {
@@ -37,42 +40,81 @@ def publish_view(df: DataFrame, name: str) -> DataFrame:
 
 def materialize_incremental(spark: SparkSession, name: str, silver: DataFrame, path: str,
                             target_date=None) -> None:
-    """First build: all days. Later builds: the target day only, replacing what it had."""
+    """First build: all days. Later builds: the target day only, replacing what it had.
+
+    The rows that are checked are the rows that are written; a target day without rows loses its
+    partition.
+    """
     exists = or_missing(lambda: spark.read.parquet(path)) is not None
     if exists and target_date is None:
         raise ValueError(f"{name} exists: an incremental build needs a target date")
-    write_days(gold.contract_model(name, silver, target_date if exists else None), path, "date")
+    rows = gold.contract_model(name, silver, target_date if exists else None)
+    expectations.require(expectations.contract_checks(rows))
+    write_days(rows, path, DATE)
+    if exists:
+        _clear_empty(spark, rows, path, target_date, target_date)
+
+
+def _clear_empty(spark: SparkSession, rows: DataFrame, path: str, start, end) -> None:
+    present = {str(r[0]) for r in rows.select(DATE).distinct().collect()}  # the days of one run
+    clear_range(spark, path, present, start, end, DATE)
+
 
+def model_path(gold_root: str, name: str) -> str:
+    return f"{gold_root.rstrip('/')}/{name}"
 
-def run(spark: SparkSession, silver_root: str, data_type: str = "content",
-        target_date=None) -> DataFrame:
-    """Build and publish the view of a data type; raises when one of its checks fails.
 
-    For content, a target date also reconciles that day's contracts with contract_stats.
+def run(spark: SparkSession, silver_root: str, gold_root: str, data_type: str = "content",
+        start=None, end=None, labels: tuple[str, str] = MONTH_LABELS) -> DataFrame | None:
+    """Build, check and store the models of a data type for a range of days; their views are
+    registered too. Returns the KPI or the trending model as stored, None without silver data.
+
+    Every check looks at the rows that are then written, and all checks come before the first write:
+    not-null and unique columns, and for content that each day's contracts reconcile. Days of the range
+    without rows lose their partitions; without a start and an end a model is replaced whole.
     """
     if data_type == "content":
-        name = "gold_kpi_metrics"
-        summary = read_table(spark, silver_root, "content", "daily_summary")
-        model = gold.kpi_metrics(summary)
-        checks = [expectations.kpi_checks(model)]
-        if target_date is not None:
-            stats = read_table(spark, silver_root, "content", "contract_stats", target_date, target_date)
-            checks.append(expectations.reconcile_checks(stats, summary, target_date))
-        expectations.require(*checks)
-    elif data_type == "search":
-        name = "gold_search_trending"
-        model = gold.search_trending(read_table(spark, silver_root, "search", "search_trending"))
-        expectations.require(expectations.trending_checks(model))
-    else:
+        return _run_content(spark, silver_root, gold_root, start, end)
+    if data_type != "search":
         raise ValueError(f"Unknown data_type: {data_type}")
-    return publish_view(model, name)
+    silver = or_missing(lambda: read_table(spark, silver_root, "search", "search_trending"))
+    if silver is None:
+        return None
+    model = gold.search_trending(silver, labels)
+    expectations.require(expectations.trending_checks(model))
+    path = model_path(gold_root, "gold_search_trending")
+    write_table(model, path)
+    return publish_view(spark.read.parquet(path), "gold_search_trending")
+
+
+def _run_content(spark: SparkSession, silver_root: str, gold_root: str, start, end) -> DataFrame | None:
+    def silver(table):
+        return or_missing(lambda: read_table(spark, silver_root, "content", table, start, end))
+
+    summary = silver("daily_summary")
+    if summary is None:
+        return None
+    models = {"gold_kpi_metrics": gold.kpi_metrics(summary)}
+    checks = [expectations.kpi_checks(models["gold_kpi_metrics"]),
+              expectations.reconcile_checks(silver("contract_stats"), summary)]
+    for name in gold.CONTRACT_MODELS:
+        models[name] = gold.contract_model(name, silver(name))
+        checks.append(expectations.contract_checks(models[name]))
+    expectations.require(*checks)
+    for name, model in models.items():
+        path = model_path(gold_root, name)
+        write_days(model, path, DATE, whole_table=start is None and end is None)
+        _clear_empty(spark, model, path, start, end)
+    stored = {name: or_missing(lambda: spark.read.parquet(model_path(gold_root, name))) for name in models}
+    for name, df in stored.items():
+        if df is not None:
+            publish_view(df.select(models[name].columns), name)
+    return None if stored["gold_kpi_metrics"] is None else spark.table("gold_kpi_metrics")
 
 
 def run_contract_model(spark: SparkSession, name: str, silver_root: str, gold_root: str,
                        target_date=None) -> DataFrame:
-    """Incremental build of one per-contract model, checked before it is written."""
-    silver = read_table(spark, silver_root, "content", name)
-    expectations.require(expectations.contract_checks(gold.contract_model(name, silver, target_date)))
-    path = f"{gold_root.rstrip('/')}/{name}"
-    materialize_incremental(spark, name, silver, path, target_date)
+    """Incremental build of one per-contract model."""
+    path = model_path(gold_root, name)
+    materialize_incremental(spark, name, read_table(spark, silver_root, "content", name), path, target_date)
     return spark.read.parquet(path)

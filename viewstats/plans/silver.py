@@ -2,14 +2,18 @@
 
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from viewstats.functions import run_date
 from viewstats.operators import content, search
-from viewstats.schemas import BRONZE_CONTENT, CONTRACT_STATS
-from viewstats.sources.layers import or_missing, read_history, read_table
+from viewstats.schemas import BRONZE_CONTENT, CONTRACT_STATS, LOAD_DATE
+from viewstats.sources.layers import or_missing, read_history, read_last_day, read_table
 from viewstats.sources.paths import table_path
-from viewstats.sources.sinks import write_search_trending, write_silver
+from viewstats.sources.sinks import clear_range, write_search_trending, write_silver
+
+CONTENT_TABLES = [
+    "contract_stats", "daily_summary", "contract_most_watch", "contract_taste", "contract_type",
+    "contract_activeness", "contract_clinginess"]
 
 
 def content_tables(bronze: DataFrame) -> dict[str, DataFrame]:
@@ -32,26 +36,34 @@ def _before(day) -> str:
 
 
 def run_content(spark: SparkSession, bronze_root: str, silver_root: str,
-                start=None, end=None) -> dict[str, str] | None:
+                start=None, end=None, mode: str = "as_of") -> dict[str, str] | None:
     """Fill the content tables for a range of days; None without bronze data.
 
     contract_stats is written once and the other tables are derived from the stored days. Active
-    days count all stored history up to each day, so after a day in the middle is changed, the days
-    that follow it have to be run again as well. Without a start and an end the tables are
-    replaced whole: days that bronze no longer has disappear.
+    days of earlier history come from the last stored day of contract_activeness, which has every
+    contract seen up to it, so after a day in the middle is changed, the days that follow it have to
+    be run again as well. Days of the range that bronze does not have lose their partitions in all
+    seven tables; without a start and an end the tables are replaced whole.
+
+    ``mode`` is how contract_activeness and contract_clinginess count: ``as_of`` each day (the stored
+    table then carries every contract on every day, so it grows with contracts times days), ``prior``
+    days only, or the whole stored ``snapshot``.
     """
     whole = start is None and end is None
     bronze = or_missing(lambda: read_table(
         spark, bronze_root, "content", start=start, end=end, schema=BRONZE_CONTENT))
-    if bronze is None or bronze.isEmpty():
+    paths = {name: table_path(silver_root, "content", name) for name in CONTENT_TABLES}
+    present = set() if bronze is None else {
+        r[0] for r in bronze.select(LOAD_DATE).distinct().collect()}  # the days of the range
+    for path in paths.values():
+        clear_range(spark, path, present, start, end)
+    if not present:
         return None
     write_silver({"contract_stats": content.contract_stats(content.enrich(bronze))}, silver_root,
                  whole_table=whole)
 
     stats = read_table(spark, silver_root, "content", "contract_stats", start, end, CONTRACT_STATS)
-    earlier = None
-    if start is not None:
-        earlier = read_history(spark, silver_root, "contract_stats", CONTRACT_STATS, _before(start))
+    earlier = _earlier(spark, silver_root, start, mode)
     # Projections of stored day partitions: no shuffle before the write.
     write_silver({
         "contract_most_watch": content.most_watch(stats),
@@ -61,31 +73,50 @@ def run_content(spark: SparkSession, bronze_root: str, silver_root: str,
     types = read_table(spark, silver_root, "content", "contract_type", start, end)
     write_silver({
         "daily_summary": content.daily_summary(stats, content.platform_devices(bronze)),
-        "contract_activeness": content.activeness_carried(stats, earlier),
-        "contract_clinginess": content.clinginess_as_of(types, earlier),
+        **_activeness_tables(stats, types, earlier, mode),
     }, silver_root, whole_table=whole)
-    return {name: table_path(silver_root, "content", name) for name in (
-        "contract_stats", "daily_summary", "contract_most_watch", "contract_taste",
-        "contract_type", "contract_activeness", "contract_clinginess")}
+    return paths
+
+
+def _earlier(spark: SparkSession, silver_root: str, start, mode: str) -> DataFrame | None:
+    """What was active before ``start``: one stored day of counts where they are as-of counts, else
+    the days of contract_stats."""
+    if start is None:
+        return None
+    if mode == "as_of":
+        last = read_last_day(spark, silver_root, "contract_activeness", start)
+        if last is not None:
+            return last.select("contract", F.col("activeness").alias(content.ACTIVE_DAYS))
+    return read_history(spark, silver_root, "contract_stats", CONTRACT_STATS, _before(start))
+
+
+def _activeness_tables(stats: DataFrame, types: DataFrame, earlier, mode: str) -> dict[str, DataFrame]:
+    if mode == "as_of":
+        return {"contract_activeness": content.activeness_carried(stats, earlier),
+                "contract_clinginess": content.clinginess_as_of(types, earlier)}
+    active = content.activeness(stats, mode, earlier)
+    return {"contract_activeness": active, "contract_clinginess": content.clinginess(types, active)}
 
 
 def run_search(spark: SparkSession, bronze_root: str, silver_root: str,
-               months: tuple[str, str] = ("2022-06", "2022-07")) -> str | None:
+               months: tuple[str, str] = search.MONTHS,
+               labels: tuple[str, str] = search.MONTH_LABELS) -> str | None:
     """Rebuild search_trending from the two months; None without bronze data."""
     bronze = or_missing(lambda: read_table(spark, bronze_root, "search"))
     if bronze is None:
         return None
-    write_search_trending(search.trending(bronze, months), silver_root)
+    write_search_trending(search.trending(bronze, months, labels), silver_root)
     return table_path(silver_root, "search", "search_trending")
 
 
 def run(spark: SparkSession, bronze_root: str, silver_root: str, data_type: str = "content",
-        start=None, end=None):
+        start=None, end=None, mode: str = "as_of", months: tuple[str, str] = search.MONTHS,
+        labels: tuple[str, str] = search.MONTH_LABELS):
     """Search always covers its two months, so a day range applies to content only."""
     if data_type == "content":
-        return run_content(spark, bronze_root, silver_root, start, end)
+        return run_content(spark, bronze_root, silver_root, start, end, mode)
     if data_type == "search":
-        return run_search(spark, bronze_root, silver_root)
+        return run_search(spark, bronze_root, silver_root, months, labels)
     raise ValueError(f"Unknown data_type: {data_type}")
 
 

@@ -22,22 +22,11 @@ def _pick(values: list, index: F.Column) -> F.Column:
     return F.get(F.array(*[F.lit(v) for v in values]), index)
 
 
-def _thinned(spark: SparkSession, sf_dir: str, thin: bool) -> DataFrame:
-    events = _events(spark, sf_dir)
-    if not thin:
-        return events
-    user, kind = F.col("user_id"), F.col("event_type")
-    return events.where(
-        (user % 3 == 0)
-        | ((user % 3 == 1) & kind.isin("view", "click"))
-        | ((user % 3 == 2) & (kind == "purchase")))
-
-
-def sessions(spark: SparkSession, sf_dir: str, thin: bool = False) -> DataFrame:
-    """Content log rows; ``thin`` keeps fewer days per user so that activeness varies."""
+def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Content log rows."""
     k, user = F.col("k"), F.col("user_id")
     seconds = F.floor("value").cast("bigint")
-    return _thinned(spark, sf_dir, thin).select(
+    return _events(spark, sf_dir).select(
         F.col("event_id").cast("string").alias("_id"),
         F.when(k != 98, F.concat(F.lit("C"), user.cast("string"))).alias("contract"),
         F.when(k != 97, F.concat(F.lit("M"), (user * 2 + k % 3).cast("string"))).alias("mac"),
@@ -48,9 +37,14 @@ def sessions(spark: SparkSession, sf_dir: str, thin: bool = False) -> DataFrame:
 
 
 def session_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All sessions, and once more those of an even number of seconds: exact copies."""
+    """All sessions; those of an even number of seconds again, once as they are and once a second
+    longer; and for every tenth a line that could not be parsed."""
     rows = sessions(spark, sf_dir)
-    return rows.unionByName(rows.where(F.col("total_duration") % 2 == 0))
+    even = rows.where(F.col("total_duration") % 2 == 0)
+    longer = even.withColumn("total_duration", F.col("total_duration") + 1)
+    broken = rows.where(F.col("_id").cast("bigint") % 10 == 0).select(
+        *[F.lit(None).cast(kind).alias(c) for c, kind in rows.dtypes if c != LOAD_DATE], LOAD_DATE)
+    return rows.unionByName(even).unionByName(longer).unionByName(broken)
 
 
 def searches(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,8 +55,8 @@ def searches(spark: SparkSession, sf_dir: str) -> DataFrame:
         day.cast("string").alias(LOAD_DATE))
 
 
-def bronze_content(spark: SparkSession, sf_dir: str, thin: bool = False) -> DataFrame:
-    return split(sessions(spark, sf_dir, thin), content_rules())[0]
+def bronze_content(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return split(sessions(spark, sf_dir), content_rules())[0]
 
 
 def bronze_search(spark: SparkSession, sf_dir: str) -> DataFrame:

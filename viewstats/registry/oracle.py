@@ -51,11 +51,8 @@ _CLINGINESS = """CASE
     ELSE 'High' END"""
 
 _K = "CAST(json_extract_string(props, '$.k') AS INT)"
-_THIN = """WHERE user_id % 3 = 0 OR (user_id % 3 = 1 AND event_type IN ('view', 'click'))
-           OR (user_id % 3 = 2 AND event_type = 'purchase')"""
 
-
-def _content(thin: bool = False) -> str:
+def _content() -> str:
     """sessions -> bronze -> enriched -> stats -> devices -> summary -> types, as CTEs."""
     return f"""
     sessions AS (
@@ -68,7 +65,7 @@ def _content(thin: bool = False) -> str:
                     ELSE CAST(floor(value) AS BIGINT) END AS total_duration,
                {_list(APPS)}[k % 16 + 1] AS app_name,
                CAST(CAST(ts AS DATE) AS VARCHAR) AS _load_date
-        FROM (SELECT *, {_K} AS k FROM events) {_THIN if thin else ''}),
+        FROM (SELECT *, {_K} AS k FROM events)),
     tagged AS (
         SELECT *, coalesce(contract IS NOT NULL AND mac IS NOT NULL
                            AND total_duration IS NOT NULL AND total_duration >= 0, FALSE) AS ok
@@ -160,8 +157,8 @@ _SEARCH = f"""
         FROM trending)"""
 
 
-def _on_content(select: str, thin: bool = False) -> str:
-    return f"WITH {_content(thin)} {select}"
+def _on_content(select: str) -> str:
+    return f"WITH {_content()} {select}"
 
 
 def _on_search(select: str) -> str:
@@ -200,6 +197,7 @@ def _gold_contract(relation: str, columns: str) -> str:
 
 def _expect_not_null() -> str:
     models = {
+        "sessions": ("sessions", ["_id", "contract", "mac", "total_duration", "app_name"]),
         "gold_kpi_metrics": ("kpis", ["date", "total_duration", "active_contracts",
                                       "unique_devices", "avg_session_duration"]),
         "contract_most_watch": ("watched", ["contract", "_load_date"]),
@@ -234,6 +232,15 @@ ORACLE = {
     "raw_search_scan": _on_search("SELECT * FROM searches"),
     "bronze_partition_read": _on_content(f"SELECT * FROM bronze WHERE _load_date = '{DAY}'"),
     "bronze_all_read": _on_content("SELECT * FROM bronze"),
+    "bronze_all_read_search": _on_search("""
+        SELECT *, CASE WHEN substr(_load_date, 1, 7) = '2022-06' THEN CAST(length(keyword) AS INT) END
+                   AS device,
+               CASE WHEN substr(_load_date, 1, 7) = '2022-07' THEN CAST(length(keyword) AS INT) END
+                   AS region
+        FROM found"""),
+    "land_raw_search_days": _on_search("""
+        SELECT _load_date, count(*) AS n, count(keyword) AS with_keyword
+        FROM searches GROUP BY _load_date"""),
     "land_raw_days": _on_content(
         "SELECT _load_date, count(*) AS n, count(_id) AS with_id FROM sessions GROUP BY _load_date"),
     "write_bronze_roundtrip": _on_content(
@@ -246,13 +253,16 @@ ORACLE = {
         JOIN (SELECT contract, _load_date, total_duration FROM types) USING (contract, _load_date)
         JOIN (SELECT contract, _load_date, count(*) AS most_watch_rows FROM watched GROUP BY ALL)
             USING (contract, _load_date)
-        JOIN (SELECT _load_date, active_contracts FROM summary) USING (_load_date)""", thin=True),
+        JOIN (SELECT _load_date, active_contracts FROM summary) USING (_load_date)"""),
     "write_search_roundtrip": _on_search("SELECT * FROM trending"),
     "gold_view": _on_content("SELECT date, active_contracts, unique_devices FROM kpis"),
     "gold_incremental_roundtrip": _on_content(_gold_contract("tastes", "taste")),
     "dedup_by_id": _on_content("""
-        SELECT DISTINCT * FROM (SELECT * FROM sessions UNION ALL
-                                SELECT * FROM sessions WHERE total_duration % 2 = 0)"""),
+        SELECT * REPLACE (CASE WHEN total_duration % 2 = 0 THEN total_duration + 1
+                               ELSE total_duration END AS total_duration) FROM sessions
+        UNION ALL
+        SELECT NULL, NULL, NULL, NULL, NULL, _load_date FROM sessions
+        WHERE CAST(_id AS BIGINT) % 10 = 0"""),
     "dq_valid_content": _on_content("SELECT * FROM bronze"),
     "dq_quarantine_content": _on_content("SELECT * EXCLUDE (ok) FROM tagged WHERE NOT ok"),
     "dq_report_content": _on_content(_report("tagged", "ok", 0.05)),
@@ -279,18 +289,18 @@ ORACLE = {
     "activeness_snapshot": _on_content("""
         SELECT contract, count(DISTINCT _load_date) AS activeness,
                (SELECT max(_load_date) FROM stats) AS _load_date
-        FROM stats GROUP BY contract""", thin=True),
-    "activeness_as_of": _on_content("SELECT * FROM active", thin=True),
+        FROM stats GROUP BY contract"""),
+    "activeness_as_of": _on_content("SELECT * FROM active"),
     "activeness_prior": _on_content("""
         SELECT contract, activeness - 1 AS activeness, _load_date
-        FROM active WHERE activeness > 1""", thin=True),
-    "activeness_carried": _on_content("SELECT * FROM carried", thin=True),
-    "clinginess": _on_content(f"SELECT {_SEGMENT_COLUMNS} FROM segments", thin=True),
-    "clinginess_as_of": _on_content(f"SELECT {_SEGMENT_COLUMNS} FROM segments", thin=True),
+        FROM active WHERE activeness > 1"""),
+    "activeness_carried": _on_content("SELECT * FROM carried"),
+    "clinginess": _on_content(f"SELECT {_SEGMENT_COLUMNS} FROM segments"),
+    "clinginess_as_of": _on_content(f"SELECT {_SEGMENT_COLUMNS} FROM segments"),
     "clinginess_snapshot": _on_content(f"""
         SELECT contract, _load_date, type, activeness, {_CLINGINESS} AS clinginess
         FROM types JOIN (SELECT contract, count(*) AS activeness FROM stats GROUP BY contract)
-            USING (contract)""", thin=True),
+            USING (contract)"""),
     "search_month_filter": _on_search("SELECT * FROM searches WHERE substr(_load_date, 1, 7) = '2022-06'"),
     "search_keyword_counts": _on_search(
         "SELECT user_id, keyword, count(*) AS times FROM found GROUP BY user_id, keyword"),
@@ -303,9 +313,9 @@ ORACLE = {
         FROM searches GROUP BY ALL"""),
     "search_trending": _on_search("SELECT * FROM trending"),
     "gold_kpi_metrics": _on_content("SELECT * FROM kpis"),
-    "gold_contract_activeness": _on_content(_gold_contract("carried", "activeness"), thin=True),
+    "gold_contract_activeness": _on_content(_gold_contract("carried", "activeness")),
     "gold_contract_clinginess": _on_content(
-        _gold_contract("segments", "type, activeness, clinginess"), thin=True),
+        _gold_contract("segments", "type, activeness, clinginess")),
     "gold_contract_most_watch": _on_content(_gold_contract("watched", "most_watch")),
     "gold_contract_taste": _on_content(_gold_contract("tastes", "taste")),
     "gold_contract_type": _on_content(_gold_contract("types", "total_duration, type")),
@@ -327,15 +337,17 @@ ORACLE = {
         UNION ALL
         SELECT 'accepted_values', 'trending_type',
                count(*) FILTER (trending_type NOT IN ('Unchanged')), 'narrow' FROM gold_trending"""),
-    "check_kpi_dau": _on_content("""
+    "check_kpi_dau": _on_content(f"""
         SELECT _load_date, total_dau, active_contracts,
-               CAST(total_dau = active_contracts AS INT) AS matches
+               CAST(coalesce(total_dau = active_contracts, FALSE) AS INT) AS matches
         FROM (SELECT _load_date, count(DISTINCT trim(contract)) AS total_dau FROM stats
               WHERE contract IS NOT NULL GROUP BY _load_date)
-        JOIN summary USING (_load_date)"""),
+        FULL JOIN (SELECT _load_date, active_contracts
+                          + CASE WHEN _load_date = '{DAY}' THEN 1 ELSE 0 END AS active_contracts
+                   FROM summary WHERE _load_date <> '{SPLIT_DAY}') USING (_load_date)"""),
     "backfill_range": _on_content("""
         SELECT contract, _load_date, carried.activeness, type, clinginess
-        FROM carried LEFT JOIN segments USING (contract, _load_date)""", thin=True),
+        FROM carried LEFT JOIN segments USING (contract, _load_date)"""),
     "backfill_most_watch_taste": _on_content(f"""
         SELECT contract, _load_date, most_watch, taste
         FROM watched JOIN tastes USING (contract, _load_date)
@@ -346,7 +358,7 @@ ORACLE = {
     "dash_daily_trend": _on_content(
         "SELECT CAST(_load_date AS DATE) AS date, total_duration FROM summary"),
     "dash_clinginess_segments": _on_content(
-        "SELECT _load_date, clinginess, count(*) AS contracts FROM segments GROUP BY ALL", thin=True),
+        "SELECT _load_date, clinginess, count(*) AS contracts FROM segments GROUP BY ALL"),
     "dash_taste_matrix": _on_content(
         "SELECT _load_date, taste, count(*) AS contracts FROM tastes GROUP BY ALL"),
     "dash_transitions": _on_search(

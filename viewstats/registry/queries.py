@@ -6,25 +6,27 @@ from viewstats.functions import keyword_category
 from viewstats.operators import content, dashboards, expectations, gold, quality, search
 from viewstats.plans import gold as gold_plan, landing, silver
 from viewstats.registry import adapters
-from viewstats.schemas import BRONZE_CONTENT, CONTRACT_STATS, LOAD_DATE
+from viewstats.registry.scratch import scratch_path
+from viewstats.schemas import BRONZE_CONTENT, LOAD_DATE
 from viewstats.sources.layers import read_day, read_table
-from viewstats.sources.paths import quarantine_path, scratch_path, table_path
+from viewstats.sources.paths import table_path
 from viewstats.sources.raw import read_content, read_search
 from viewstats.sources.sinks import (
-    write_bronze, write_days, write_search_trending, write_silver)
+    clear_days, write_bronze, write_days, write_search_trending, write_silver)
 
 DAY = "2024-01-15"
 SPLIT_DAY = "2024-01-11"
+LATE_DAY = "2024-02-10"
 
 
 # --- frames the queries share ---------------------------------------------------------------
 
-def _enriched(spark, sf, thin=False):
-    return content.enrich(adapters.bronze_content(spark, sf, thin))
+def _enriched(spark, sf):
+    return content.enrich(adapters.bronze_content(spark, sf))
 
 
-def _stats(spark, sf, thin=False):
-    return content.contract_stats(_enriched(spark, sf, thin))
+def _stats(spark, sf):
+    return content.contract_stats(_enriched(spark, sf))
 
 
 def _summary(spark, sf):
@@ -32,12 +34,12 @@ def _summary(spark, sf):
         _stats(spark, sf), content.platform_devices(adapters.bronze_content(spark, sf)))
 
 
-def _types(spark, sf, thin=False):
-    return content.contract_type(_stats(spark, sf, thin))
+def _types(spark, sf):
+    return content.contract_type(_stats(spark, sf))
 
 
 def _segments(spark, sf):
-    return content.clinginess_as_of(_types(spark, sf, thin=True))
+    return content.clinginess_as_of(_types(spark, sf))
 
 
 def _trending(spark, sf):
@@ -48,13 +50,19 @@ def _kpis(spark, sf):
     return gold.kpi_metrics(_summary(spark, sf))
 
 
-def _stored_bronze(spark, sf, thin=False):
+def _stored_bronze(spark, sf):
     """A bronze layer holding the valid sessions; returns its root."""
     root = scratch_path(spark, "bronze")
-    write_days(adapters.bronze_content(spark, sf, thin), table_path(root, "content"))
+    write_days(adapters.bronze_content(spark, sf), table_path(root, "content"))
     return root
 
 
+def _add_late_day(spark, sf, bronze_root):
+    """One more bronze day, a copy of DAY."""
+    rows = adapters.bronze_content(spark, sf).where(F.col(LOAD_DATE) == DAY)
+    write_days(rows.withColumn(LOAD_DATE, F.lit(LATE_DAY)), table_path(bronze_root, "content"))
+
+
 # --- scans ----------------------------------------------------------------------------------
 
 def raw_content_scan(spark, sf):
@@ -77,6 +85,26 @@ def bronze_all_read(spark, sf):
     return read_table(spark, _stored_bronze(spark, sf), "content", schema=BRONZE_CONTENT)
 
 
+def bronze_all_read_search(spark, sf):
+    """Search bronze of two runs whose files have different extra columns."""
+    root = scratch_path(spark, "bronze")
+    for month, extra in (("2022-06", "device"), ("2022-07", "region")):
+        rows = search.in_month(adapters.bronze_search(spark, sf), month)
+        write_days(rows.withColumn(extra, F.length("keyword")), table_path(root, "search"))
+    return read_table(spark, root, "search")
+
+
+def land_raw_search_days(spark, sf):
+    """Drop one folder of Parquet files per day, land them, count the rows of each landed day."""
+    drop, root = scratch_path(spark, "drop"), scratch_path(spark, "raw")
+    rows = adapters.searches(spark, sf).withColumn(
+        "day", F.regexp_replace(LOAD_DATE, "-", "")).drop(LOAD_DATE)
+    write_days(rows, drop, "day")
+    landing.land(spark, drop, root, "search")
+    return read_search(spark, root).groupBy(LOAD_DATE).agg(
+        F.count("*").alias("n"), F.count("keyword").alias("with_keyword"))
+
+
 def land_raw_days(spark, sf):
     """Drop one folder of JSON lines per day, land them, count the lines of each landed day."""
     drop, root = scratch_path(spark, "drop"), scratch_path(spark, "raw")
@@ -103,10 +131,13 @@ def write_bronze_roundtrip(spark, sf):
 
 
 def write_silver_roundtrip(spark, sf):
-    """The silver job run twice over all days; one row per contract and day from what it stored."""
-    bronze_root, root = _stored_bronze(spark, sf, thin=True), scratch_path(spark, "silver")
-    for _ in range(2):
-        silver.run_content(spark, bronze_root, root)
+    """The silver job run twice over all days, the first time with a day that bronze then loses; one
+    row per contract and day from what it stored."""
+    bronze_root, root = _stored_bronze(spark, sf), scratch_path(spark, "silver")
+    _add_late_day(spark, sf, bronze_root)
+    silver.run_content(spark, bronze_root, root)
+    clear_days(spark, table_path(bronze_root, "content"), [LATE_DAY])
+    silver.run_content(spark, bronze_root, root)
     table = lambda name: read_table(spark, root, "content", name)
     watched = table("contract_most_watch").groupBy(*content.KEYS).agg(
         F.count("*").alias("most_watch_rows"))
@@ -224,24 +255,24 @@ def contract_type(spark, sf):
 
 
 def activeness_snapshot(spark, sf):
-    return content.activeness_snapshot(_stats(spark, sf, thin=True))
+    return content.activeness_snapshot(_stats(spark, sf))
 
 
 def activeness_as_of(spark, sf):
-    return content.activeness(_stats(spark, sf, thin=True), "as_of")
+    return content.activeness(_stats(spark, sf), "as_of")
 
 
 def activeness_prior(spark, sf):
-    return content.activeness(_stats(spark, sf, thin=True), "prior")
+    return content.activeness(_stats(spark, sf), "prior")
 
 
 def activeness_carried(spark, sf):
     return content.activeness_carried(
-        _stats(spark, sf, thin=True), days=adapters.bronze_content(spark, sf, thin=True))
+        _stats(spark, sf), days=adapters.bronze_content(spark, sf))
 
 
 def clinginess(spark, sf):
-    stats = _stats(spark, sf, thin=True)
+    stats = _stats(spark, sf)
     return content.clinginess(content.contract_type(stats), content.activeness(stats, "as_of"))
 
 
@@ -250,7 +281,7 @@ def clinginess_as_of(spark, sf):
 
 
 def clinginess_snapshot(spark, sf):
-    stats = _stats(spark, sf, thin=True)
+    stats = _stats(spark, sf)
     return content.clinginess(content.contract_type(stats), content.activeness(stats, "snapshot"))
 
 
@@ -273,10 +304,9 @@ def top_keyword_july(spark, sf):
 
 
 def category_map(spark, sf):
-    """Every search row classified (NULL keywords too), counted per keyword."""
-    return (adapters.searches(spark, sf)
-            .select("keyword", keyword_category(F.col("keyword")).alias("category"))
-            .groupBy("keyword", "category").agg(F.count("*").alias("n")))
+    """Searches per keyword (NULL too), each keyword classified once."""
+    return (adapters.searches(spark, sf).groupBy("keyword").agg(F.count("*").alias("n"))
+            .withColumn("category", keyword_category(F.col("keyword"))))
 
 
 def search_trending(spark, sf):
@@ -320,15 +350,23 @@ def gold_search_trending(spark, sf):
 # --- checks ---------------------------------------------------------------------------------
 
 def expect_not_null(spark, sf):
-    """The declared not-null columns of all seven gold models, failures per column."""
+    """The declared not-null columns of all seven gold models over stored silver, and those of the raw
+    sessions, which do have NULLs; failures per column."""
+    bronze_root, root = _stored_bronze(spark, sf), scratch_path(spark, "silver")
+    write_days(adapters.bronze_search(spark, sf), table_path(bronze_root, "search"))
+    silver.run_content(spark, bronze_root, root)
+    silver.run_search(spark, bronze_root, root)
+    table = lambda name, kind="content": read_table(spark, root, kind, name)
     models = {
-        "gold_kpi_metrics": expectations.not_null(_kpis(spark, sf), gold.KPI_COLUMNS),
+        "sessions": expectations.not_null(
+            adapters.sessions(spark, sf), ["_id", "contract", "mac", "total_duration", "app_name"]),
+        "gold_kpi_metrics": expectations.not_null(
+            gold.kpi_metrics(table("daily_summary")), gold.KPI_COLUMNS),
         "search_trending": expectations.not_null(
-            gold.search_trending(_trending(spark, sf)), gold.TRENDING_COLUMNS),
+            gold.search_trending(table("search_trending", "search")), gold.TRENDING_COLUMNS),
     }
-    tables = silver.content_tables(adapters.bronze_content(spark, sf))
     for name in gold.CONTRACT_MODELS:
-        models[name] = expectations.contract_checks(gold.contract_model(name, tables[name]))
+        models[name] = expectations.contract_checks(gold.contract_model(name, table(name)))
     result = None
     for name, checks in models.items():
         named = checks.withColumn("model", F.lit(name))
@@ -355,16 +393,25 @@ def expect_trending_values(spark, sf):
 
 
 def check_kpi_dau(spark, sf):
-    return expectations.contracts_reconcile(_stats(spark, sf), _summary(spark, sf))
+    """Against a summary that has one day wrong and one day missing."""
+    wrong = F.when(F.col(LOAD_DATE) == DAY, F.col("active_contracts") + 1).otherwise(
+        F.col("active_contracts"))
+    summary = _summary(spark, sf).withColumn("active_contracts", wrong).where(
+        F.col(LOAD_DATE) != SPLIT_DAY)
+    return expectations.contracts_reconcile(_stats(spark, sf), summary)
 
 
 # --- backfills ------------------------------------------------------------------------------
 
 def backfill_range(spark, sf):
-    """Silver filled by two range jobs; the second one counts the history the first one stored."""
-    bronze_root, root = _stored_bronze(spark, sf, thin=True), scratch_path(spark, "silver")
+    """Silver filled by two range jobs; the second one counts the history the first one stored, and a
+    third run takes back a day that bronze lost."""
+    bronze_root, root = _stored_bronze(spark, sf), scratch_path(spark, "silver")
+    _add_late_day(spark, sf, bronze_root)
     silver.run_content(spark, bronze_root, root, end="2024-01-10")
     silver.run_content(spark, bronze_root, root, start=SPLIT_DAY)
+    clear_days(spark, table_path(bronze_root, "content"), [LATE_DAY])
+    silver.run_content(spark, bronze_root, root, start=LATE_DAY, end=LATE_DAY)
     segments = read_table(spark, root, "content", "contract_clinginess")
     active = read_table(spark, root, "content", "contract_activeness")
     return active.join(segments.drop("activeness"), content.KEYS, "left")
@@ -414,7 +461,8 @@ def dash_top_keywords(spark, sf):
 
 
 QUERIES = {f.__name__: f for f in [
-    raw_content_scan, raw_search_scan, bronze_partition_read, bronze_all_read, land_raw_days,
+    raw_content_scan, raw_search_scan, bronze_partition_read, bronze_all_read, bronze_all_read_search,
+    land_raw_days, land_raw_search_days,
     write_bronze_roundtrip, write_silver_roundtrip, write_search_roundtrip, gold_view,
     gold_incremental_roundtrip, dedup_by_id, dq_valid_content, dq_quarantine_content,
     dq_report_content, dq_valid_search, dq_quarantine_search, dq_report_search, dq_rule_profile,

@@ -4,6 +4,7 @@ from pyspark.sql import types as T
 
 LOAD_DATE = "_load_date"
 
+# --- fixed values: fields of the content log and of bronze ----------------------------------
 RAW_CONTENT = T.StructType([
     T.StructField("_id", T.StringType()),
     T.StructField("_source", T.StructType([

@@ -1,8 +1,5 @@
-"""Where tables live, and where intermediate tables may be put."""
+"""Where tables live, which days they hold, and the few file operations Spark has no writer for."""
 
-import atexit
-import shutil
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -25,23 +22,27 @@ def quarantine_path(root: str, data_type: str) -> str:
     return table_path(root, f"{data_type}_quarantine")
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder that ``spark.checkpoint.dir`` names.
+def staging_path(root: str) -> str:
+    """A fresh path beside the tables of a root, and so reachable by every executor that they are."""
+    return f"{root.rstrip('/')}/.staging-{uuid.uuid4().hex}"
 
-    Only a local session without that setting gets a folder of its own on this machine.
-    """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        base = shared.rstrip("/")
-    elif spark.sparkContext.master.startswith("local"):
-        base = tempfile.mkdtemp(prefix="viewstats-")
-        atexit.register(shutil.rmtree, base, ignore_errors=True)
-    else:
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    return f"{base}/{name}-{uuid.uuid4().hex}"
+
+def _file_system(spark: SparkSession, path: str):
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
 
 def delete_path(spark: SparkSession, path: str) -> None:
-    """Remove an intermediate table this library wrote itself."""
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+    """Remove a table or day this library wrote itself."""
+    files, hadoop_path = _file_system(spark, path)
+    files.delete(hadoop_path, True)
+
+
+def stored_days(spark: SparkSession, path: str, day_column: str = LOAD_DATE) -> list[str]:
+    """The days a table has partitions for, from one folder listing; none without the table."""
+    files, hadoop_path = _file_system(spark, path)
+    if not files.exists(hadoop_path):
+        return []
+    names = (status.getPath().getName() for status in files.listStatus(hadoop_path))
+    prefix = f"{day_column}="
+    return sorted(n.removeprefix(prefix) for n in names if n.startswith(prefix))

@@ -64,8 +64,17 @@ def _landed(df: DataFrame, start, end) -> DataFrame:
                  .withColumn(LOAD_DATE, F.col(LOAD_DATE).cast("string")))
 
 
+def undated_files(spark: SparkSession, drop: str) -> DataFrame:
+    """Paths of dropped files that name no valid day and are therefore never landed."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(drop)
+             .select(F.col("path").alias("_path")))
+    day = F.try_to_date(F.regexp_extract("_path", _DAY_IN_PATH, 1), "yyyyMMdd")
+    return files.where(day.isNull()).select(F.col("_path").alias("path"))
+
+
 def read_drop_content(spark: SparkSession, drop: str, start=None, end=None) -> DataFrame:
-    """Lines of all dropped day files, dated by file name. Undated files are left alone."""
+    """Lines of all dropped day files, dated by file name. Undated files are left
+    alone; ``undated_files`` lists them."""
     return _landed(spark.read.option("recursiveFileLookup", "true").text(drop), start, end)
 
 

@@ -2,8 +2,9 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
+from viewstats.functions.dates import run_date
 from viewstats.schemas import LOAD_DATE
-from viewstats.sources.paths import delete_path, quarantine_path, table_path
+from viewstats.sources.paths import delete_path, quarantine_path, stored_days, table_path
 
 
 def write_days(df: DataFrame, path: str, day_column: str = LOAD_DATE, rebalance: bool = True,
@@ -31,6 +32,15 @@ def clear_days(spark: SparkSession, path: str, days: list[str], day_column: str
         delete_path(spark, f"{path}/{day_column}={day}")
 
 
+def clear_range(spark: SparkSession, path: str, kept, start=None, end=None,
+                day_column: str = LOAD_DATE) -> None:
+    """Drop the stored days from ``start`` to ``end`` that a run over that range gave no rows."""
+    low, high = start and run_date(start), end and run_date(end)
+    gone = [d for d in stored_days(spark, path, day_column)
+            if d not in kept and (low is None or d >= low) and (high is None or d <= high)]
+    clear_days(spark, path, gone, day_column)
+
+
 def write_bronze(valid: DataFrame, invalid: DataFrame, root: str, data_type: str = "content") -> None:
     write_days(valid, table_path(root, data_type))
     write_days(invalid, quarantine_path(root, data_type))
