@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
+import struct
 
 import numpy as np
 import pyarrow as pa
@@ -13,11 +15,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from viewstats.llm import dac
-from viewstats.llm.common import whole
+from viewstats.llm.common import Memo, kept, whole
 from viewstats.llm.store import Store
 
 FILE_IDS = 4 << 20
-REMEMBERED = 300_000  # pieces each cache keeps
 # The pattern by which byte-level BPE splits a text.
 PATTERN = regex.compile(
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -29,22 +30,6 @@ class _Unsplittable(Exception):
     """A space in the text is not where pieces meet."""
 
 
-class _Pieces(dict):
-    """Ids, as packed uint32, of a space and the piece after it."""
-
-    def __init__(self, encoder: Encoder):
-        super().__init__()
-        self.encoder = encoder
-
-    def __missing__(self, piece: str) -> bytes:
-        if not piece or piece[0].isspace() or piece[-1].isspace():
-            raise _Unsplittable
-        if len(self) >= REMEMBERED:
-            self.clear()
-        value = self[piece] = self.encoder.piece(" " + piece)
-        return value
-
-
 class Encoder:
     """A byte-level BPE tokenizer of the tokenizers library with its results remembered.
 
@@ -60,27 +45,34 @@ class Encoder:
         self.model = self.tokenizer.model
         added = [t["content"] for t in json.loads(definition)["added_tokens"]]
         self.special = re.compile("|".join(map(re.escape, added)) or r"(?!)")
-        self.pieces, self.parts = _Pieces(self), {}
+        self.pieces, self.parts = Memo(self.after_space), Memo(self.part)
         visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
         hidden = [b for b in range(256) if b not in visible]
         self.byte = {b: chr(b) for b in visible} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
     def part(self, part: str) -> bytes:
-        value = self.parts.get(part)
-        if value is None:
-            shown = "".join(map(self.byte.__getitem__, part.encode()))
-            value = np.array([t.id for t in self.model.tokenize(shown)], "<u4").tobytes()
-            if len(self.parts) >= REMEMBERED:
-                self.parts.clear()
-            self.parts[part] = value
-        return value
+        """Ids, as packed uint32, of one part that the pattern finds."""
+        shown = ("\u0120" + part[1:] if part[0] == " " and part[1:].isascii() and part[1:].isalpha()
+                 else "".join(map(self.byte.__getitem__, part.encode())))
+        ids = [token.id for token in self.model.tokenize(shown)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def after_space(self, piece: str) -> bytes:
+        """Ids of a space and the piece after it."""
+        if not piece or piece[0].isspace() or piece[-1].isspace():
+            raise _Unsplittable
+        if piece.isascii() and piece.isalpha():
+            return self.parts[" " + piece]
+        if piece[-1] in ",." and piece.isascii() and piece[:-1].isalpha():
+            return self.parts[" " + piece[:-1]] + self.parts[piece[-1]]
+        return self.piece(" " + piece)
 
     def library(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def piece(self, text: str) -> bytes:
         if PLAIN.fullmatch(text) and not self.special.search(text):
-            return b"".join(map(self.part, PATTERN.findall(text)))
+            return b"".join(map(self.parts.__getitem__, PATTERN.findall(text)))
         return self.library(text)
 
     def __call__(self, text: str) -> bytes:
@@ -104,7 +96,8 @@ def write_tokens(docs: DataFrame, path: str, definition: str, end_id: int = 0, k
     brings them to `file_ids`. Other columns are not read. An empty table writes no file.
     """
     def write(batches):
-        encoder, store, part = Encoder(definition), Store(path), TaskContext.get().partitionId()
+        name = "encoder_" + hashlib.sha256(definition.encode()).hexdigest()
+        encoder, store, part = kept(name, lambda: Encoder(definition)), Store(path), TaskContext.get().partitionId()
         end, keys, counts, packed, held, made = np.array([end_id], "<u4").tobytes(), [], [], [], 0, 0
 
         def flush():
