@@ -13,6 +13,7 @@ Tables that go to the tasks have fixed bounds (`KNOWN` words of up to `LONGEST`
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -23,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from viewstats.llm.common import Memo, cut, whole
+from viewstats.llm.common import cut, kept, whole
 
 STATES = 8
 SYMBOLS = 1 << 15
@@ -36,14 +37,15 @@ COUNTED = 300_000
 START_WORDS, START_TOKENS, START_ROUNDS = 4096, 300_000, 12
 ROUNDS = 2
 PRIOR = 20.0  # tokens of the whole corpus' mix that each state is given
-BLOCK_TOKENS = 1 << 18
+BLOCK_TOKENS, SCORED_TOKENS = 1 << 18, 1 << 20  # of a block: in training, in scoring
+GROUP_TOKENS = 1 << 22  # read before texts of like length are put together
 SIGNS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 def ending(word: bytes) -> int:
-    """Number of the class of a word without a symbol: its last two characters or so and its length."""
+    """Number of the class of a word without a symbol: its last letters and whether signs follow them."""
     bare = word.rstrip(SIGNS)
-    return xxhash.xxh3_64_intdigest(bare[-3:] + b"%d" % (bare != word)) % ENDINGS
+    return zlib.crc32(bare[-3:], len(bare) != len(word)) % ENDINGS
 
 
 def held_out(key: str = "doc_id") -> Column:
@@ -126,14 +128,19 @@ def make_lexicon(counts: DataFrame, texts: int) -> Lexicon:
     return Lexicon(words, np.log10(n + 1), np.log10(tokens + distinct + 1), seen / seen.sum(), total, types, texts)
 
 
+class _Places(dict):
+    """Place of a word among the known ones, or -1 less its ending."""
+
+    def __missing__(self, word: bytes) -> int:
+        return -1 - ending(word)
+
+
 class Reader:
     """Texts as symbols."""
 
     def __init__(self, lexicon: Lexicon):
         self.lexicon = lexicon
-        places = {word: place for place, word in enumerate(lexicon.words)}
-        # Place among the known words, or -1 less the ending.
-        self.places = Memo(lambda word: places[word] if word in places else -1 - ending(word))
+        self.places = _Places((word, place) for place, word in enumerate(lexicon.words))
         self.symbol = np.array([i if i < SYMBOLS else SYMBOLS + ending(w)
                                 for i, w in enumerate(lexicon.words)] or [0], np.int32)
 
@@ -145,6 +152,13 @@ class Reader:
         return words, places, np.append(symbols, END).astype(np.int32)
 
 
+def reader_of(fields: tuple) -> Reader:
+    """The reader of a lexicon, kept for all tasks of a process that need the same one."""
+    words, weights, *_ = fields
+    name = f"reader_{xxhash.xxh3_64_intdigest(weights.tobytes() + b' '.join(words)):x}"
+    return kept(name, lambda: Reader(Lexicon(*fields)))
+
+
 # The model
 
 
@@ -186,7 +200,7 @@ def _grid(texts: list[np.ndarray], chosen: np.ndarray) -> tuple[np.ndarray, np.n
 def log10_likelihood(model: Model, texts: list[np.ndarray]) -> np.ndarray:
     """log10 of the exact probability of each text, by the scaled forward recursion."""
     out = np.zeros(len(texts))
-    for chosen in _blocks(texts):
+    for chosen in _blocks(texts, SCORED_TOKENS):
         grid, alive = _grid(texts, chosen)
         state = np.broadcast_to(model.start, (len(chosen), STATES))
         scores = np.zeros(len(chosen))
@@ -246,7 +260,7 @@ def starting_model(texts: list[np.ndarray], shares: np.ndarray, seed: int = 11)
     return model
 
 
-def _groups(symbols: Iterator, most: int = 4 * BLOCK_TOKENS) -> Iterator[list]:
+def _groups(symbols: Iterator, most: int = GROUP_TOKENS) -> Iterator[list]:
     """Items (with symbols last) in groups of about so many tokens."""
     held, size = [], 0
     for item in symbols:
@@ -265,7 +279,7 @@ def baum_welch(docs: DataFrame, lexicon: Lexicon, model: Model, text: str = "tex
     sent = context.broadcast((lexicon.fields(), (model.start, model.move, model.emit)))
 
     def run(batches):
-        reader, model = Reader(Lexicon(*sent.value[0])), Model(*sent.value[1])
+        reader, model = reader_of(sent.value[0]), Model(*sent.value[1])
         start, move, emit = np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros((ALL, STATES))
         read = ((reader(value.as_py())[2],) for batch in batches for value in batch.column(0))
         for group in _groups(read):
@@ -331,8 +345,8 @@ def score(docs: DataFrame, trained: Trained, key: str = "doc_id", text: str = "t
     ends = float(np.log10(lexicon.texts + 1))
 
     def run(batches):
-        lexicon, model = Lexicon(*sent.value[0]), Model(*sent.value[1])
-        reader, weights = Reader(lexicon), np.append(lexicon.weights, 0.0)
+        reader, model = reader_of(sent.value[0]), Model(*sent.value[1])
+        lexicon, weights = reader.lexicon, np.append(reader.lexicon.weights, 0.0)
 
         def read():
             for batch in batches:
