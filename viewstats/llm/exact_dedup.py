@@ -59,5 +59,6 @@ def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", salts
 def drop_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of `docs` that stay, with all their columns. Of rows that repeat key and text all stay."""
     groups = exact_groups(docs, key, text)
-    gone = groups.where(~F.col("kept")).select(F.col("key").alias("__key"))
-    return docs.join(gone.distinct(), F.col(key).eqNullSafe(F.col("__key")), "left_anti")
+    gone = groups.where(~F.col("kept")).select(F.col("key").alias("__key"), F.col("digest").alias("__digest"))
+    alike = F.col(key).eqNullSafe(F.col("__key")) & (sha256(lower_ascii(whole(text))) == F.col("__digest"))
+    return docs.join(gone.distinct(), alike, "left_anti")

@@ -54,10 +54,9 @@ def target_sizes(sources: DataFrame, share: float, most: float) -> DataFrame:
     levels = caps.withColumn("level", F.when(
         F.col("weight").isNotNull(), (asked - filled) / F.sum("weight").over(rest)))
     level = F.max(F.when(F.col("level") <= F.col("full_at"), F.col("level"))).over(every)
-    target = F.coalesce(F.least(F.col("cap"), level * F.col("weight")),
-                        F.when(F.col("weight").isNotNull(), F.col("cap")), F.lit(0.0))
-    return levels.withColumn("target", F.when(level.isNull() & F.col("weight").isNotNull(), F.col("cap"))
-                             .otherwise(target)).select("source", "source_size", "weight", "target")
+    # Without a level every source is full; `least` passes over it.
+    target = F.when(F.col("weight").isNotNull(), F.least(F.col("cap"), level * F.col("weight")))
+    return levels.select("source", "source_size", "weight", F.coalesce(target, F.lit(0.0)).alias("target"))
 
 
 def apportion(weights: DataFrame, houses: list[int]) -> DataFrame:

@@ -1,4 +1,4 @@
-"""The queries of the operators over whole tables, and their SQL where SQL can express them."""
+"""The queries of the operators over whole tables; `sql` has their SQL where SQL can express them."""
 
 from __future__ import annotations
 
@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from viewstats.llm import chat, decontamination, exact_dedup, hmm, jaccard_join, mixing, quality, sharding, token_ids, warc
 from viewstats.llm.common import scratch, table, text_bytes, whole
+from viewstats.llm.sql import ORACLE  # noqa: F401  (the registry takes both from here)
 
 
 def op1_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -112,12 +113,3 @@ QUERIES = {
     "op6_ngram_jaccard": op6_ngram_jaccard,
     "op7_mixing": op7_mixing,
 }
-
-ORACLE = {
-    "op3_exact_dedup": """
-        SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
-               doc_id = max(doc_id) OVER same AS kept, sha256(norm) AS text_sha256
-        FROM (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-                                       'abcdefghijklmnopqrstuvwxyz') AS norm FROM documents)
-        WINDOW same AS (PARTITION BY norm)""",
-}
