@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from viewstats.llm import decontamination, jaccard_join, mixing, quality, sharding
 from viewstats.llm.common import scratch, table
 
-LEAST_QUALITY = 0.7
+LEAST_QUALITY = 0.5  # rejected: label 0 is likelier
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
