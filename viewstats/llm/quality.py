@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from viewstats.llm.common import Memo, cut, kept, whole
+from viewstats.llm.common import cut, whole
 
 WORDS = 1 << 14
 STEPS = 16
@@ -52,9 +52,6 @@ def _number(word: bytes) -> int:
 class Featurizer:
     """Sparse features of texts: columns and values, the words' scaled to length 1."""
 
-    def __init__(self):
-        self.numbers = kept("word_features", lambda: Memo(_number))
-
     def structure(self, text: bytes, words: list[bytes], counts: np.ndarray, pairs: float) -> np.ndarray:
         """The statistics, each between 0 and 1."""
         size, n = max(1, len(text)), max(1, len(words))
@@ -71,7 +68,7 @@ class Featurizer:
 
     def __call__(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
         words = text.split()
-        numbers = np.fromiter(map(self.numbers.__getitem__, words), np.int64, len(words))
+        numbers = np.fromiter(map(_number, words), np.int64, len(words))
         columns, counts = np.unique(numbers, return_counts=True)
         pair = numbers[1:] * WORDS + numbers[:-1]
         repeated = 1 - len(np.unique(pair)) / len(pair) if len(pair) else 0.0
