@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 import sys
+import time
 import types
 import uuid
 from collections.abc import Callable
@@ -51,6 +53,16 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def release(spark: SparkSession) -> None:
+    """Lets go of the shuffle files of steps whose results have been cut. Spark removes them once the
+    driver's collector has seen that nothing refers to them any more, which may otherwise be long after
+    the job: call it where no variable holds such a step."""
+    for _ in range(2):  # the first finds what the second can let go of
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """The rows written to the shared folder, so that later steps neither recompute nor lose them."""
     context = df.sparkSession.sparkContext

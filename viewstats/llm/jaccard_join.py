@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from viewstats.llm.common import Memo, cut, kept, whole
+from viewstats.llm.common import cut, release, whole
 from viewstats.llm.components import components
 
 LIGHT_MOST = 40  # sizes considered for the light side
@@ -42,13 +42,13 @@ class Shingler:
     """Sets of distinct n-grams of a text's words as sorted hashes."""
 
     def __init__(self, n: int):
-        self.n, self.hashes = n, kept("word_hashes", lambda: Memo(xxhash.xxh3_64_intdigest))
+        self.n = n
 
     def __call__(self, text: bytes) -> np.ndarray:
         words = text.lower().split()  # of bytes: A-Z and the six ASCII space characters alone
         if not words:
             return np.zeros(0, np.uint64)
-        values = np.fromiter(map(self.hashes.__getitem__, words), np.uint64, len(words))
+        values = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
         width = min(self.n, len(words))
         grams = np.full(len(words) - width + 1, width, np.uint64)
         for i in range(width):
@@ -67,7 +67,7 @@ def least_common(size: int | Column, percent: int) -> int | Column:
 def sample_size(size: int, percent: int) -> tuple[int, int]:
     """How many smallest hashes of a set to look at, and how many of them others must have."""
     def spare(n: int) -> int:
-        return min(least_common(n, percent), n // 10 + 2)
+        return min(least_common(n, percent), n // 16 + 2)
     common = least_common(size, percent)
     return size - common + spare(size), spare(common)
 
@@ -118,8 +118,9 @@ def _shared(rows: DataFrame) -> DataFrame:
     return rows.join(counts, "hash")
 
 
-def _whole_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """id, size, hashes of the sets of `wanted` (id, key, digest), made again from their texts."""
+def _whole_sets(docs: DataFrame, wanted: DataFrame, words: int, once: bool) -> DataFrame:
+    """id, size, hashes of the sets of `wanted` (id, key, digest), made again from their texts. `once`:
+    no key is on two rows of `docs`."""
     asked = wanted.select("id", F.col("key").alias("wanted"), F.col("digest").alias("asked"))
     found = docs.join(asked, F.col("key").eqNullSafe(F.col("wanted"))).select("id", "text", "asked")
 
@@ -139,7 +140,35 @@ def _whole_sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
             yield _packed(held, NAMES, KINDS)
 
     NAMES, KINDS = ["id", "size", "hashes"], [pa.int64(), pa.int64(), pa.list_(pa.int64())]
-    return found.mapInArrow(run, "id long, size long, hashes array<long>").dropDuplicates(["id"])
+    sets = found.mapInArrow(run, "id long, size long, hashes array<long>")
+    return sets if once else sets.dropDuplicates(["id"])
+
+
+def _candidates(some: DataFrame, first: DataFrame) -> DataFrame:
+    """id, key, digest of the sets of which enough of the smallest hashes occur in other sets."""
+    standing = some.join(first.select(F.col("id").alias("row")), "row").withColumnRenamed("row", "id")
+    shared = _shared(standing.select("id", F.explode("sample").alias("hash")))
+    enough = shared.groupBy("id").agg(F.count(F.lit(1)).alias("others"))
+    wanted = standing.select("id", "key", "digest", "needed").join(enough, "id")
+    return cut(wanted.where("others >= needed").select("id", "key", "digest"))
+
+
+def _rare_lists(sets: DataFrame, percent: int) -> DataFrame:
+    """Inverted lists over the rarest elements of every set of which enough occur in others, as many
+    elements as it takes to meet each set it links to: hash, id, size, place (of the element among the
+    set's, rarest first), members, turn (see `_heavy_links`)."""
+    elements = _shared(sets.select("id", "size", F.explode("hashes").alias("hash")))
+    ordered = elements.groupBy("id", "size").agg(
+        F.array_sort(F.collect_list(F.struct("sets", "hash"))).alias("rare"), F.count(F.lit(1)).alias("others"))
+    ordered = ordered.where(F.col("others") >= least_common(F.col("size"), percent))
+    alone = F.col("size") - F.col("others")  # these come first and are in no other set
+    prefix = F.greatest(F.lit(0), F.col("size") - least_common(F.col("size"), percent) + 1 - alone)
+    lists = (ordered.select("id", "size", alone.alias("alone"),
+                            F.posexplode(F.slice("rare", F.lit(1), prefix.cast("int"))).alias("at", "one"))
+             .select(F.col("one.hash").alias("hash"), "id", "size", (F.col("alone") + F.col("at")).alias("place")))
+    members = lists.groupBy("hash").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    turn = (F.xxhash64(F.lit(5), "id") / F.lit(2.0 ** 64) + 0.5) * F.col("members")
+    return cut(lists.join(members, "hash").withColumn("turn", turn))
 
 
 def subsets(hashes: np.ndarray, percent: int) -> list[tuple[int, int, int]]:
@@ -148,7 +177,7 @@ def subsets(hashes: np.ndarray, percent: int) -> list[tuple[int, int, int]]:
     parts = [hashes * MIX[0] ^ hashes >> np.uint64(7), hashes * MIX[1] ^ hashes >> np.uint64(11)]
     out, n = [], len(hashes)
     for left_out in range(n - least_common(n, percent) + 1):
-        chosen = np.array([*combinations(range(n), left_out)], np.int64).reshape(-1, left_out)
+        chosen = np.array([*combinations(range(n), left_out)], np.int64).reshape(comb(n, left_out), left_out)
         keys = [part.sum() - part[chosen].sum(axis=1) for part in parts]
         out += zip([n - left_out] * len(chosen), *(k.astype(np.uint64).view(np.int64).tolist() for k in keys))
     return out
@@ -188,13 +217,11 @@ def light_boundary(costs: list[tuple[int, int, int]], percent: int) -> int:
 
 
 def _heavy_links(lists: DataFrame, sets: DataFrame, percent: int, links: DataFrame, longest: int) -> DataFrame:
-    """All links found, `links` included, scanning `lists` (hash, id, size, place, members) in rounds.
+    """All links found, `links` included, scanning `lists` in rounds.
 
     A member's turn to be compared with the rest of its lists comes by a hash of its id, so about
     FIRST_HUBS members have theirs in the first round, MORE_HUBS times as many in the next, and so on.
     """
-    turn = (F.xxhash64(F.lit(5), "id") / F.lit(2.0 ** 64) + 0.5) * F.col("members")
-    lists = cut(lists.withColumn("turn", turn))
     done, until = 0.0, float(FIRST_HUBS)
     while done < longest:
         labelled = lists
@@ -234,38 +261,27 @@ def link_sets(docs: DataFrame, words: int = 5, percent: int = 80, key: str = "do
     the component has no other key; rows that repeat a key are told apart by their texts. Other columns
     are not read. An empty table gives an empty table.
     """
-    texts = _texts(docs, key, text)
+    spark, texts = docs.sparkSession, _texts(docs, key, text)
     signed = cut(_signed(texts, words, percent).withColumn("row", F.monotonically_increasing_id()))
     some = signed.where("size > 0")
     # One row stands for all rows with its set.
     first = cut(some.groupBy("digest").agg(F.min("row").alias("id"), F.min("key").alias("key")))
-    standing = some.join(first.select(F.col("id").alias("row")), "row").withColumnRenamed("row", "id")
-    shared = _shared(standing.select("id", F.explode("sample").alias("hash")))
-    enough = shared.groupBy("id").agg(F.count(F.lit(1)).alias("others"))
-    wanted = standing.join(enough, "id").where("others >= needed").select("id", "key", "digest")
-    sets = cut(_whole_sets(texts, wanted, words))
-
-    elements = _shared(sets.select("id", "size", F.explode("hashes").alias("hash")))
-    able = elements.groupBy("id", "size").agg(F.count(F.lit(1)).alias("others")).where(
-        F.col("others") >= least_common(F.col("size"), percent)).select("id")
-    sets = cut(sets.join(able, "id"))
-    elements = _shared(sets.select("id", "size", F.explode("hashes").alias("hash")))
-    ordered = elements.groupBy("id", "size").agg(
-        F.array_sort(F.collect_list(F.struct("sets", "hash"))).alias("rare"), F.count(F.lit(1)).alias("others"))
-    alone = F.col("size") - F.col("others")
-    prefix = F.greatest(F.lit(0), F.col("size") - least_common(F.col("size"), percent) + 1 - alone)
-    lists = (ordered.select("id", "size", alone.alias("alone"),
-                            F.posexplode(F.slice("rare", F.lit(1), prefix.cast("int"))).alias("at", "one"))
-             .select(F.col("one.hash").alias("hash"), "id", "size", (F.col("alone") + F.col("at")).alias("place")))
-    members = lists.groupBy("hash").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-    lists = cut(lists.join(members, "hash"))
+    wanted = _candidates(some, first)
+    signed = cut(signed.drop("sample", "needed"))
+    some = signed.where("size > 0")
+    release(spark)
+    sets = cut(_whole_sets(texts, wanted, words, signed.groupBy("key").count().where("count > 1").isEmpty()))
+    release(spark)
+    lists = _rare_lists(sets, percent)
+    release(spark)
 
     costs = lists.where(F.col("size") <= LIGHT_MOST).groupBy("size").agg(
         F.countDistinct("id"), F.sum("members")).collect()  # LIGHT_MOST rows at most
     boundary = light_boundary([tuple(row) for row in costs], percent)
-    links = cut(_light_links(sets.where(F.col("size") <= boundary), percent))
+    light = sets.where(F.col("size") <= boundary).join(lists.select("id").distinct(), "id")
+    links = cut(_light_links(light, percent))
     heavy = lists.where(F.col("size") >= least_common(boundary + 1, percent))
-    longest = lists.agg(F.max("members")).first()[0] or 0
+    longest = heavy.agg(F.max("members")).first()[0] or 0
     links = _heavy_links(heavy, sets, percent, links, longest)
 
     labels = components(links).select(F.col("node").alias("id"), "label")
