@@ -35,6 +35,7 @@ from viewstats.llm.components import components
 LIGHT_MOST = 40  # sizes considered for the light side
 SUBSET_COST = 2.0  # of a listed subset, in scanned list entries
 FIRST_HUBS, MORE_HUBS = 8, 16
+SKETCH = 128  # counts of elements by part of the hash range
 MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 
 
@@ -119,7 +120,7 @@ def _shared(rows: DataFrame) -> DataFrame:
 
 
 def _whole_sets(docs: DataFrame, wanted: DataFrame, words: int, once: bool) -> DataFrame:
-    """id, size, hashes of the sets of `wanted` (id, key, digest), made again from their texts. `once`:
+    """id, size, hashes and sketch of the sets of `wanted` (id, key, digest), made again from their texts. `once`:
     no key is on two rows of `docs`."""
     asked = wanted.select("id", F.col("key").alias("wanted"), F.col("digest").alias("asked"))
     found = docs.join(asked, F.col("key").eqNullSafe(F.col("wanted"))).select("id", "text", "asked")
@@ -131,7 +132,8 @@ def _whole_sets(docs: DataFrame, wanted: DataFrame, words: int, once: bool) -> D
                 of, text, asked = (batch.column(j)[i].as_py() for j in range(3))
                 hashes = shingler(text)
                 if _digest(hashes) == asked:  # keys may repeat
-                    held.append((of, len(hashes), hashes.view(np.int64)))
+                    sketch = np.bincount((hashes % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH)
+                    held.append((of, len(hashes), hashes.view(np.int64), np.minimum(sketch, 32767).astype(np.int16)))
                     count += len(hashes)
                 if count > 1 << 19 or len(held) >= 4096:
                     yield _packed(held, NAMES, KINDS)
@@ -139,8 +141,9 @@ def _whole_sets(docs: DataFrame, wanted: DataFrame, words: int, once: bool) -> D
         if held:
             yield _packed(held, NAMES, KINDS)
 
-    NAMES, KINDS = ["id", "size", "hashes"], [pa.int64(), pa.int64(), pa.list_(pa.int64())]
-    sets = found.mapInArrow(run, "id long, size long, hashes array<long>")
+    NAMES = ["id", "size", "hashes", "sketch"]
+    KINDS = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int16())]
+    sets = found.mapInArrow(run, "id long, size long, hashes array<long>, sketch array<short>")
     return sets if once else sets.dropDuplicates(["id"])
 
 
@@ -216,6 +219,19 @@ def light_boundary(costs: list[tuple[int, int, int]], percent: int) -> int:
     return at
 
 
+def _close(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose sketches leave it open that they link. Two sets differ in at least as many
+    elements as their counts differ over the parts of the hash range, so no link is lost, and most pairs
+    that don't link go before any whole set is moved."""
+    left = sets.select(F.col("id").alias("a"), F.col("size").alias("size_a"), F.col("sketch").alias("left"))
+    right = sets.select(F.col("id").alias("b"), F.col("size").alias("size_b"), F.col("sketch").alias("right"))
+    apart = F.aggregate(F.zip_with("left", "right", lambda x, y: F.abs(x.cast("long") - y)), F.lit(0).cast("long"),
+                        lambda total, x: total + x)
+    both = F.col("size_a") + F.col("size_b")  # less twice the common part is how many they differ in
+    return pairs.join(left, "a").join(right, "b").where(
+        (100 + percent) * apart <= (100 - percent) * both).select("a", "b")
+
+
 def _heavy_links(lists: DataFrame, sets: DataFrame, percent: int, links: DataFrame, longest: int) -> DataFrame:
     """All links found, `links` included, scanning `lists` in rounds.
 
@@ -240,6 +256,7 @@ def _heavy_links(lists: DataFrame, sets: DataFrame, percent: int, links: DataFra
             & (F.struct("turn", "id") > F.struct("hub_turn", "hub_id"))
             & ((100 + percent) * bound >= percent * (F.col("size") + F.col("hub_size"))))
             .select(F.col("hub_id").alias("a"), F.col("id").alias("b")).distinct())
+        pairs = cut(_close(pairs, sets, percent))
         left = sets.select(F.col("id").alias("a"), F.col("hashes").alias("left"))
         right = sets.select(F.col("id").alias("b"), F.col("hashes").alias("right"))
         common = F.size(F.array_intersect("left", "right"))
@@ -278,7 +295,7 @@ def link_sets(docs: DataFrame, words: int = 5, percent: int = 80, key: str = "do
     costs = lists.where(F.col("size") <= LIGHT_MOST).groupBy("size").agg(
         F.countDistinct("id"), F.sum("members")).collect()  # LIGHT_MOST rows at most
     boundary = light_boundary([tuple(row) for row in costs], percent)
-    light = sets.where(F.col("size") <= boundary).join(lists.select("id").distinct(), "id")
+    light = sets.where(F.col("size") <= boundary).drop("sketch").join(lists.select("id").distinct(), "id")
     links = cut(_light_links(light, percent))
     heavy = lists.where(F.col("size") >= least_common(boundary + 1, percent))
     longest = heavy.agg(F.max("members")).first()[0] or 0
@@ -294,7 +311,9 @@ def link_sets(docs: DataFrame, words: int = 5, percent: int = 80, key: str = "do
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The rows of `docs` whose key is the smallest of their component, with all columns. A row without
-    words stays."""
-    groups = link_sets(docs, key=key, text=text, **options)
-    gone = groups.where(~F.col("key").eqNullSafe(F.col("component"))).select(F.col("key").alias("__key"))
-    return docs.join(gone.distinct(), F.col(key).eqNullSafe(F.col("__key")), "left_anti")
+    words stays. Rows that repeat a key stay if one of them does."""
+    stays = F.max(F.col("key").eqNullSafe(F.col("component")))
+    groups = link_sets(docs, key=key, text=text, **options).groupBy(F.col("key").alias("__key")).agg(
+        stays.alias("__stays"))
+    gone = groups.where(~F.col("__stays"))
+    return docs.join(gone, F.col(key).eqNullSafe(F.col("__key")), "left_anti")
