@@ -16,6 +16,49 @@ def test_masks_hit_every_window_with_two_substitutions():
                    for cared in d.seeds_for(d.WINDOW) for start in range(d.WINDOW - cared[-1]))
 
 
+def test_masks_hit_every_stretch_with_a_fifth_substituted():
+    """Of the stretches no mask hits, the least of 5 x substitutions - tokens, by length: above 0 from the
+    window on. What a long stretch holds is at least the sum over its parts, so lengths beyond `far` follow
+    once the least of `far` tokens outweighs the lowest of any part shorter than the window."""
+    masks = [[i for i, sign in enumerate(mask) if sign == "1"] for mask in d.MASKS]
+    bits = max(cared[-1] for cared in masks) + 1
+    states = np.arange(1 << bits)  # the last tokens, bit 0 the latest; before the stretch all count as changed
+    free = np.ones(len(states), bool)
+    for cared in masks:
+        looks = sum(1 << (cared[-1] - i) for i in cared)
+        free &= states & looks != looks
+    least, lowest = np.where(states == 0, 0, 1 << 20), [0]
+    for _ in range(200):
+        onward = np.full(len(states), 1 << 20)
+        for equal in (0, 1):
+            np.minimum.at(onward, (states << 1 & len(states) - 1) | equal, least + (-1 if equal else 4))
+        least = np.where(free, onward, 1 << 20)
+        lowest.append(int(least.min()))
+    far = next(n for n, value in enumerate(lowest) if value > -min(lowest[:d.WINDOW]))
+    assert far > d.WINDOW and min(lowest[d.WINDOW:]) > 0
+
+
+@pytest.mark.parametrize("length", range(15, 26))
+def test_long_items_at_exactly_the_share_allowed(length):
+    """Every placement of three substitutions, some hundred of more, against brute force."""
+    rng, item = random.Random(length), [f"w{i}" for i in range(length)]
+    placed = [*combinations(range(1, length - 1), length // 5)]
+    texts = []
+    for changed in placed if length < 16 else rng.sample(placed, 300):
+        texts.append(" ".join(["before", *("other" if i in changed else w for i, w in enumerate(item)), "after"]))
+    found = {row: equal for row, *_, equal in d.Block([(1, " ".join(item))]).find(texts)}
+    assert [*found] == [*range(len(texts))]
+    for row in range(0, len(texts), 25):
+        assert found[row] == brute_force(texts[row], " ".join(item))
+
+
+def test_placements_that_hold_no_window_with_two_substitutions():
+    for length, changed in ((15, (2, 5, 11)), (20, (3, 7, 11, 15)), (20, (4, 8, 11, 15)), (25, (3, 7, 12, 17, 21))):
+        item = [f"w{i}" for i in range(length)]
+        text = " ".join("other" if i in changed else w for i, w in enumerate(item))
+        assert [row for row, *_ in d.Block([(1, " ".join(item))]).find([text])] == [0]
+
+
 @pytest.mark.parametrize("length", range(1, d.WINDOW))
 def test_seeds_of_short_items_hit_every_allowed_case(length):
     (cared,) = d.seeds_for(length)
