@@ -113,6 +113,33 @@ def test_finds_what_brute_force_finds(seed):
     assert set(got) == {k for k, v in expected.items() if v is not None}
 
 
+def test_a_run_too_short_does_not_hide_a_stretch():
+    """12 equal tokens, which mismatches around them would make longer than the stretch that counts."""
+    item = [f"w{i}" for i in range(45)]
+    text = [w if i < 12 or i >= 32 and i not in (36, 40) else f"other{i}" for i, w in enumerate(item)]
+    for a, b in ((text, item), (text[::-1], item[::-1])):
+        (found,) = d.Block([(1, " ".join(b))]).find([" ".join(a)])
+        at = 32 if a is text else 0
+        assert found == (0, 0, at, at + 13, at, at + 13, 11) and brute_force(" ".join(a), " ".join(b)) == 11
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_long_items_with_edited_middles(seed):
+    rng = random.Random(seed)
+    item = [f"w{i}" for i in range(48)]
+    texts = []
+    for _ in range(40):
+        share, text = 0.0, []
+        for i, word in enumerate(item):
+            if i % 12 == 0:
+                share = rng.choice([0, 0.1, 0.2, 1])
+            text.append("other" if rng.random() < share else word)
+        texts.append(" ".join(text))
+    found = {row: equal for row, *_, equal in d.Block([(1, " ".join(item))]).find(texts)}
+    expected = {row: brute_force(text, " ".join(item)) for row, text in enumerate(texts)}
+    assert found == {row: equal for row, equal in expected.items() if equal is not None}
+
+
 def test_overlaps_and_blocks(spark):
     texts, items = cases(9)
     docs = documents(spark, [*enumerate(texts)] + [(k, t) for k, t in odd_rows()])

@@ -112,25 +112,20 @@ class Block:
             yield row, item, start - first, end - first, at, to, equal
 
     def _stretch(self, stream, first: int, end: int, item: np.ndarray, shift: int) -> tuple | None:
-        """The longest stretch along a diagonal with enough equal tokens, if it is long enough."""
+        """The longest stretch along a diagonal that begins and ends with an equal token and has enough of
+        them, if it is long enough."""
         a, b = max(first, shift), min(end, shift + len(item))
         equal = stream[a:b] == item[a - shift:b - shift]
-        height = np.concatenate([[0.0], np.cumsum(np.where(equal, 1 - self.identity, -self.identity))]) + 1e-9
-        low, high = np.minimum.accumulate(height), np.maximum.accumulate(height[::-1])[::-1]
-        i = j = start = length = 0
-        while j < len(height):  # longest i..j with height[j] >= height[i]
-            if high[j] >= low[i] - 2e-9:
-                if j - i > length:
-                    start, length = i, j - i
-                j += 1
-            else:
-                i += 1
-        part = equal[start:start + length]
-        on = np.flatnonzero(part)
+        height = np.concatenate([[0.0], np.cumsum(np.where(equal, 1 - self.identity, -self.identity))])
+        on = np.flatnonzero(equal)
         if not len(on):
             return None
-        start, length = start + int(on[0]), int(on[-1] - on[0]) + 1
-        count = int(len(on))
+        # From the first equal token not higher than the end, which is past an equal token.
+        low = np.minimum.accumulate(height[on])
+        begin = on[np.searchsorted(-low, -height[on + 1] - 2e-9)]
+        longest = int(np.argmax(on + 1 - begin))
+        start, length = int(begin[longest]), int(on[longest] + 1 - begin[longest])
+        count = int(equal[start:start + length].sum())
         enough = length >= WINDOW if len(item) >= WINDOW else count >= math.ceil(len(item) * self.identity)
         if len(item) < 4:  # too short to tell anything but a document that is nothing else
             enough = count == len(item) == end - first
