@@ -133,6 +133,36 @@ def test_expected_counts_are_those_of_all_paths(small):
     assert emit[7].sum() == pytest.approx(5) and emit[2].sum() == pytest.approx(2)
 
 
+def test_equal_texts_count_as_often_as_they_occur(small):
+    rng = np.random.default_rng(5)
+    texts = [np.append(rng.integers(0, 50, n), hmm.END).astype(np.int32) for n in rng.integers(0, 90, 30)]
+    times = rng.integers(1, 5, 30)
+    one, many = ([np.zeros(hmm.STATES), np.zeros((hmm.STATES,) * 2), np.zeros((hmm.ALL, hmm.STATES))] for _ in "ab")
+    hmm.expected_counts(small, texts, *one, times)
+    hmm.expected_counts(small, [t for t, n in zip(texts, times) for _ in range(n)], *many)
+    assert all(np.allclose(a, b) for a, b in zip(one, many))
+
+
+def test_every_round_reads_all_texts(spark):
+    """Also long texts and copies; beside it the rounds one after another over all texts in this process."""
+    rng = random.Random(8)
+    rows = [(i, prose(rng, 7000 if i % 20 == 0 else rng.randrange(60), 300)) for i in range(80)]
+    rows += [(100 + i, rows[1][1]) for i in range(30)] + [(200, None), (201, "")]
+    trained = hmm.train(documents(spark, rows))
+    reader = hmm.Reader(trained.lexicon)
+    texts = [reader((text or "").encode())[2] for _, text in rows]
+    random_counts = np.random.default_rng(11)
+    emit = trained.lexicon.shares[:, None] * random_counts.uniform(0.2, 1.8, (hmm.ALL, hmm.STATES)) * 100
+    move = np.eye(hmm.STATES) * 10 + random_counts.uniform(0.5, 1.5, (hmm.STATES,) * 2)
+    model = hmm.from_counts(np.ones(hmm.STATES), move, emit, trained.lexicon.shares)
+    for _ in range(14):
+        counts = np.zeros(hmm.STATES), np.zeros((hmm.STATES,) * 2), np.zeros((hmm.ALL, hmm.STATES))
+        hmm.expected_counts(model, texts, *counts)
+        model = hmm.from_counts(*counts, trained.lexicon.shares)
+    assert np.allclose(trained.model.move, model.move, rtol=1e-4, atol=1e-7)
+    assert np.allclose(trained.model.emit, model.emit, rtol=1e-4, atol=1e-9)
+
+
 def test_blocks_do_not_change_likelihoods(small):
     rng = np.random.default_rng(2)
     texts = [np.append(rng.integers(0, 50, n), hmm.END).astype(np.int32) for n in rng.integers(0, 90, 70)]

@@ -2,9 +2,10 @@
 
 Training counts every word of the corpus. The commonest words are symbols of their own; all others
 share a symbol with the words of their ending, inside which they weigh count + 1, unseen ones 1. So
-every text has a probability. The hidden states' transitions and emissions are fitted by Baum-Welch:
-each task runs the forward-backward recursion over its texts and gives expected counts by symbol, Spark
-adds them up, and the next round starts from the sums. Scores come from the scaled forward recursion,
+every text has a probability. The hidden states' transitions and emissions are fitted by Baum-Welch,
+from random expected counts and over all texts in every round: each task runs the forward-backward
+recursion over its sequences of symbols, equal ones once and weighted by how often they occur, and gives
+expected counts by symbol, Spark adds them up, and the next round starts from the sums. Scores come from the scaled forward recursion,
 which gives the exact likelihood of a whole text.
 
 Tables that go to the tasks have fixed bounds (`KNOWN` words of up to `LONGEST` bytes; `SYMBOLS` +
@@ -24,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from viewstats.llm.common import cut, kept, whole
+from viewstats.llm.common import cut, kept, release, whole
 
 STATES = 8
 SYMBOLS = 1 << 15
@@ -34,8 +35,11 @@ ALL = END + 1
 KNOWN = 1 << 17
 LONGEST = 64
 COUNTED = 300_000
-START_WORDS, START_TOKENS, START_ROUNDS = 4096, 300_000, 12
-ROUNDS = 2
+CODE = np.dtype(np.min_scalar_type(END)).newbyteorder("<")  # of stored symbols
+ROUNDS = 14
+SCALED = 8  # steps after which states are scaled; none shrinks below its least move in a step
+TASK_TOKENS = 1 << 22  # of a task in a round, at least
+RELEASED = 4  # rounds after which shuffle files are let go
 PRIOR = 20.0  # tokens of the whole corpus' mix that each state is given
 BLOCK_TOKENS, SCORED_TOKENS = 1 << 18, 1 << 20  # of a block: in training, in scoring
 GROUP_TOKENS = 1 << 22  # read before texts of like length are put together
@@ -213,51 +217,61 @@ def log10_likelihood(model: Model, texts: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def expected_counts(model: Model, texts: list[np.ndarray], start, move, emit) -> None:
-    """Adds the expected counts of first states, moves and emissions of the texts."""
+def expected_counts(model: Model, texts: list[np.ndarray], start, move, emit, times: np.ndarray | None = None) -> None:
+    """Adds the expected counts of first states, moves and emissions of the texts, each text `times` over.
+
+    Emissions go relative to the likeliest state's, which leaves the states' probabilities as they are.
+    Arrays are laid out by step, state and text."""
+    most = model.emit.max(axis=1, keepdims=True)
+    relative = np.divide(model.emit, most, out=np.zeros_like(model.emit), where=most > 0).T.copy()
+    onward, moved = model.move.T.copy(), np.zeros((STATES, STATES))
     for chosen in _blocks(texts):
         grid, alive = _grid(texts, chosen)
-        steps, n = grid.shape
-        emitted = model.emit[grid]
-        forward, scales = np.zeros((steps, n, STATES)), np.ones((steps, n))
-        state = np.broadcast_to(model.start, (n, STATES))
+        alive, (steps, n) = alive.tolist(), grid.shape
+        weight = np.ones(n) if times is None else times[chosen].astype(np.float64)
+        emitted, forward = np.empty((steps, STATES, n)), np.zeros((steps, STATES, n))
+        for k in range(STATES):
+            np.take(relative[k], grid, out=emitted[:, k], mode="clip")
         for step, m in enumerate(alive):
-            state = (state[:m] @ model.move if step else state) * emitted[step, :m]
-            scales[step, :m] = state.sum(axis=1)
-            state = state / scales[step, :m, None]
-            forward[step, :m] = state
-        backward = np.zeros((n, STATES))
-        onward = np.zeros((steps, n, STATES))  # what the next step adds: emission times what follows
+            state = forward[step, :, :m]
+            if step:
+                np.matmul(onward, forward[step - 1, :, :m], out=state)
+            else:
+                state[...] = model.start[:, None]
+            state *= emitted[step, :, :m]
+            if step % SCALED == 0:
+                state /= state.sum(axis=0)
+        follows = None  # emission of the next step times what comes after it
         for step in range(steps - 1, -1, -1):
             m = alive[step]
             longer = alive[step + 1] if step + 1 < steps else 0
-            backward[longer:m] = 1.0
+            backward = np.ones((STATES, m))
+            if longer:
+                np.matmul(model.move, follows, out=backward[:, :longer])
+            state = forward[step, :, :m]
+            both = state * backward
+            share = weight[:m] / both.sum(axis=0)
             if longer:
-                backward[:longer] = onward[step + 1, :longer] @ model.move.T
-            onward[step, :m] = emitted[step, :m] * backward[:m] / scales[step, :m, None]
+                moved += (state[:, :longer] * share[:longer]) @ follows.T
+            np.multiply(both, share, out=state)  # from here on: the state's probability at this step
             if step == 0:
-                start += (forward[0, :m] * backward[:m]).sum(axis=0)
-            forward_now = forward[step, :m] * backward[:m]
-            emitted[step, :m] = forward_now  # from here on: the state's probability at this step
-            emitted[step, m:] = 0
-        move += model.move * (forward[:-1].reshape(-1, STATES).T @ onward[1:].reshape(-1, STATES))
+                start += state.sum(axis=1)
+            if step % SCALED == 0:
+                backward /= backward.sum(axis=0)
+            backward *= emitted[step, :, :m]
+            follows = backward
         flat = grid.ravel()
-        used, at = np.unique(flat, return_inverse=True)
         for k in range(STATES):
-            emit[used, k] += np.bincount(at, emitted[:, :, k].ravel(), minlength=len(used))
+            emit[:, k] += np.bincount(flat, forward[:, k].ravel(), minlength=len(emit))
+    move += model.move * moved
 
 
-def starting_model(texts: list[np.ndarray], shares: np.ndarray, seed: int = 11) -> Model:
-    """A model fitted on a few texts alone, from random expected counts; the corpus then trains it."""
+def starting_model(shares: np.ndarray, seed: int = 11) -> Model:
+    """A model from random expected counts, which the corpus then trains."""
     random = np.random.default_rng(seed)
     emit = shares[:, None] * random.uniform(0.2, 1.8, (ALL, STATES)) * 100
     move = np.eye(STATES) * 10 + random.uniform(0.5, 1.5, (STATES, STATES))
-    model = from_counts(np.ones(STATES), move, emit, shares)
-    for _ in range(START_ROUNDS if texts else 0):
-        start, move, emit = np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros((ALL, STATES))
-        expected_counts(model, texts, start, move, emit)
-        model = from_counts(start, move, emit, shares)
-    return model
+    return from_counts(np.ones(STATES), move, emit, shares)
 
 
 def _groups(symbols: Iterator, most: int = GROUP_TOKENS) -> Iterator[list]:
@@ -273,17 +287,33 @@ def _groups(symbols: Iterator, most: int = GROUP_TOKENS) -> Iterator[list]:
         yield held
 
 
-def baum_welch(docs: DataFrame, lexicon: Lexicon, model: Model, text: str = "text") -> Model:
-    """One round over all texts of `docs`."""
-    context = docs.sparkSession.sparkContext
-    sent = context.broadcast((lexicon.fields(), (model.start, model.move, model.emit)))
+def sequences(docs: DataFrame, lexicon: Lexicon, text: str = "text") -> DataFrame:
+    """symbols, times: the texts of `docs` as symbols, equal ones once and how many they are."""
+    sent = docs.sparkSession.sparkContext.broadcast(lexicon.fields())
 
     def run(batches):
-        reader, model = reader_of(sent.value[0]), Model(*sent.value[1])
+        reader = reader_of(sent.value)
+        for batch in batches:
+            coded = [reader(value.as_py())[2].astype(CODE).tobytes() for value in batch.column(0)]
+            yield pa.RecordBatch.from_arrays([pa.array(coded, pa.binary())], ["symbols"])
+
+    return _texts(docs, text).mapInArrow(run, "symbols binary").groupBy("symbols").agg(
+        F.count(F.lit(1)).alias("times"))
+
+
+def baum_welch(texts: DataFrame, lexicon: Lexicon, model: Model) -> Model:
+    """One round over all `sequences` of the training texts."""
+    context = texts.sparkSession.sparkContext
+    sent = context.broadcast((model.start, model.move, model.emit))
+
+    def run(batches):
+        model = Model(*sent.value)
         start, move, emit = np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros((ALL, STATES))
-        read = ((reader(value.as_py())[2],) for batch in batches for value in batch.column(0))
+        read = ((times.as_py(), np.frombuffer(symbols.as_py(), CODE))
+                for batch in batches for symbols, times in zip(*batch.columns))
         for group in _groups(read):
-            expected_counts(model, [symbols for symbols, in group], start, move, emit)
+            times, symbols = zip(*group)
+            expected_counts(model, symbols, start, move, emit, np.array(times))
         used = np.flatnonzero(emit.any(axis=1))
         rows = np.concatenate([used, -1 - np.arange(STATES), [-1 - STATES]])
         counts = np.concatenate([emit[used], move, [start]])
@@ -291,7 +321,8 @@ def baum_welch(docs: DataFrame, lexicon: Lexicon, model: Model, text: str = "tex
             [pa.array(rows), *(pa.array(counts[:, k]) for k in range(STATES))], ["of", *names])
 
     names = [f"s{k}" for k in range(STATES)]
-    counted = _texts(docs, text).mapInArrow(run, "of long, " + ", ".join(f"{name} double" for name in names))
+    tasks = max(context.defaultParallelism, lexicon.total // TASK_TOKENS)
+    counted = texts.coalesce(tasks).mapInArrow(run, "of long, " + ", ".join(f"{name} double" for name in names))
     summed = counted.groupBy("of").agg(*[F.sum(name).alias(name) for name in names]).collect()  # by symbol
     start, move, emit = np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros((ALL, STATES))
     for row in summed:
@@ -316,19 +347,16 @@ class Trained:
 def train(docs: DataFrame, text: str = "text", rounds: int = ROUNDS, seed: int = 11) -> Trained:
     """Trains on all rows of `docs`; a null text is empty and teaches that texts may end at once.
 
-    The rounds start from a model fitted on some texts of up to START_WORDS words, START_TOKENS tokens
-    of them or so, chosen by a hash; the rounds themselves read every text whole. An empty table gives a
-    model that knows no word."""
+    Every round reads all texts whole. An empty table gives a model that knows no word."""
     texts = _texts(docs, text)
     counts = cut(count_words(texts))
     lexicon = make_lexicon(counts, docs.count())
-    some = texts.where(F.pmod(F.xxhash64(F.lit(seed), "text"), F.lit(max(1, lexicon.total))) < START_TOKENS)
-    sample = some.where(F.octet_length("text") < START_WORDS * 8).collect()
-    reader = Reader(lexicon)
-    sequences = [reader(text)[2] for text in sorted(bytes(row[0]) for row in sample)]
-    model = starting_model(sequences, lexicon.shares, seed)
-    for _ in range(rounds if lexicon.total else 0):
-        model = baum_welch(texts, lexicon, model)
+    model = starting_model(lexicon.shares, seed)
+    coded = cut(sequences(texts, lexicon)) if lexicon.total else None
+    for done in range(rounds if lexicon.total else 0):
+        if done % RELEASED == 0:
+            release(docs.sparkSession)
+        model = baum_welch(coded, lexicon, model)
     return Trained(lexicon, model, counts)
 
 
