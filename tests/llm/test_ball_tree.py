@@ -1,0 +1,95 @@
+"""Ranked search against a plain scan of all documents."""
+
+import random
+from collections import Counter
+from math import floor, log
+
+import numpy as np
+import pytest
+
+from llm_cases import clashing, documents, odd_rows, prose
+from viewstats.llm.ball_tree import Tree, ranked, terms
+
+ITEMS = "item_id long, text string"
+
+
+def brute_force(docs, items, k=10):
+    counts = [(key, Counter(terms((text or "").encode()))) for key, text in docs]
+    counts = [(key, c, c.total()) for key, c in counts if c]
+    n_docs, n_terms = len(counts), sum(n for _, _, n in counts)
+    df = Counter(t for _, c, _ in counts for t in c)
+    found = []
+    for item, text in items:
+        asked, hits = Counter(terms((text or "").encode())), []
+        for key, c, n in counts:
+            length = 100 - 75 + 75 * n * n_docs // n_terms
+            score = sum(times * floor(1000 * log((2 * n_docs + 2) / (2 * df[t] + 1)))
+                        * (10 ** 9 * c[t] // (1000 * c[t] + 8 * length)) for t, times in asked.items() if t in c)
+            hits += [(-score, key is None, key or 0)] if score > 0 else []
+        found += [(item, rank, None if none else key, -score) for rank, (score, none, key) in enumerate(sorted(hits)[:k], 1)]
+    return sorted(found, key=str)
+
+
+def got(spark, docs, items, add=lambda df: df, **how):
+    items = add(spark.createDataFrame(items, ITEMS).repartition(2))
+    return sorted(map(tuple, ranked(add(documents(spark, docs)), items, **how).collect()), key=str)
+
+
+def corpus(seed, n=300):
+    rng = random.Random(seed)
+    docs = [(i, prose(rng, rng.choice([3, 20, 200]), 300)) for i in range(n)]
+    items = [(i, prose(rng, 25, 300)) for i in range(12)]
+    docs += [(n + i, f"{prose(rng, 30, 300)} {text} {prose(rng, 30, 300)}") for i, (_, text) in enumerate(items[:6])]
+    return docs, items
+
+
+@pytest.mark.parametrize("how", [{}, {"tree": 40, "leaf": 3}, {"most_broadcast": 0, "tree": 50, "leaf": 1}, {"k": 2}])
+def test_prose(spark, how):
+    docs, items = corpus(1)
+    assert got(spark, docs, items, **how) == brute_force(docs, items, how.get("k", 10))
+
+
+def test_terms():
+    assert terms("It's A-Z, été ÉTÉ 3\x1cx_Y\x7f".encode()) == [
+        b"it", b"s", b"a", b"z", "été".encode(), "ÉtÉ".encode(), b"3", b"x", b"y"]
+
+
+@pytest.mark.parametrize("how", [{}, {"most_broadcast": 0}])
+def test_odd_rows(spark, how):
+    docs = odd_rows()
+    items = [(1, "same row"), (1, "same row"), (None, "x key x"), (2, None), (3, " .,"), (4, "nowhere"), (5, "ÉTÉ word y")]
+    assert got(spark, docs, items, **how) == brute_force(docs, items)
+    assert got(spark, docs, items, add=clashing, **how) == brute_force(docs, items)
+
+
+def test_ties_and_copies(spark):
+    docs = [(i, "one text that a third of all rows hold") for i in range(200)] + corpus(2, 400)[0][:400]
+    items = [(7, "that third of rows"), (8, docs[250][1])]
+    assert got(spark, docs, items, tree=32, leaf=4) == brute_force(docs, items)
+
+
+def test_empty_tables(spark):
+    assert got(spark, [], [(1, "word")]) == [] and got(spark, [(1, "word")], []) == []
+    assert got(spark, [(1, None), (2, "")], [(1, "word")]) == []
+
+
+def test_bounds_hold_for_every_node():
+    rng = np.random.default_rng(4)
+    lengths = rng.integers(1, 30, 200)
+    numbers = np.concatenate([np.sort(rng.choice(60, n, replace=False)) * 1000 for n in lengths])
+    scores = rng.integers(1, 10 ** 6, len(numbers))
+    tree = Tree.build([*range(200)], np.concatenate([[0], np.cumsum(lengths)]), numbers, scores, 5)
+    loaded = Tree.unpack(tree.pack())
+    dense = np.zeros((200, 60), "i8")
+    dense[np.repeat(np.arange(200), lengths), numbers // 1000] = scores
+    asked, weights = np.array([3, 20, 41]), np.array([10 ** 4, 3, 777])
+    exact = dense[:, asked] @ weights
+
+    def below(node):
+        left, right, first, last = loaded.nodes[node][:4]
+        return [loaded.ids[i] for i in range(first, last)] if not left else below(left) + below(right)
+
+    assert sorted(below(0)) == [*range(200)]
+    wanted = np.searchsorted(loaded.vocabulary, asked * 1000)
+    for node in range(len(loaded.nodes)):
+        assert loaded.bound(node, wanted, weights) >= max(exact[below(node)])

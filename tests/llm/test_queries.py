@@ -35,7 +35,7 @@ def texts(sf_dir=SF_DIR):
 
 
 def test_all_are_registered():
-    names = {f"op{n}" for n in range(1, 11)}
+    names = {f"op{n}" for n in range(1, 14)}
     assert {q.split("_")[0] for q in QUERIES} == names
     assert {*QUERIES, "pipeline"} <= set(registry.queries())
     assert set(ORACLE) <= set(registry.oracle_sql()) and "pipeline" not in registry.oracle_sql()

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from viewstats.llm import chat, decontamination, exact_dedup, hmm, jaccard_join, mixing, quality, sharding, token_ids, warc
+from viewstats.llm import (ball_tree, chat, decontamination, exact_dedup, hmm, jaccard_join, mixing, pivot_index,
+                           quality, repair, sharding, token_ids, warc)
 from viewstats.llm.common import scratch, table, text_bytes, whole
 from viewstats.llm.sql import ORACLE  # noqa: F401  (the registry takes both from here)
 
@@ -101,6 +102,24 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_conversations(turns.unionByName(extra)))
 
 
+def op11_pivot_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best inner products of every fiftieth vector with all others."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return pivot_index.top_k(vectors.where(F.col("vec_id") % 50 == 0), vectors, k=5).withColumnRenamed("id", "vec_id")
+
+
+def op12_ball_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for each benchmark item."""
+    return ball_tree.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10
+                            ).withColumnsRenamed({"item": "item_id", "id": "doc_id"})
+
+
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged conversations, their faults and their cheapest repairs."""
+    turns = table(spark, sf_dir, "conversations")
+    return repair.repaired(repair.damage(turns), turns)
+
+
 QUERIES = {
     "op1_token_ids": op1_token_ids,
     "op4_warc": op4_warc,
@@ -112,4 +131,7 @@ QUERIES = {
     "op3_exact_dedup": op3_exact_dedup,
     "op6_ngram_jaccard": op6_ngram_jaccard,
     "op7_mixing": op7_mixing,
+    "op11_pivot_index": op11_pivot_index,
+    "op12_ball_tree": op12_ball_tree,
+    "op13_repair": op13_repair,
 }
