@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 from viewstats.operators import expectations, gold
 from viewstats.operators.search import MONTH_LABELS
 from viewstats.sources.layers import or_missing, read_table
+from viewstats.sources.published import Publication, settle
 from viewstats.sources.sinks import clear_range, write_days, write_table
 
 DATE = "date"
@@ -45,6 +46,7 @@ def materialize_incremental(spark: SparkSession, name: str, silver: DataFrame, p
     The rows that are checked are the rows that are written; a target day without rows loses its
     partition.
     """
+    settle(spark, path.rsplit("/", 1)[0])  # of a run that died
     exists = or_missing(lambda: spark.read.parquet(path)) is not None
     if exists and target_date is None:
         raise ValueError(f"{name} exists: an incremental build needs a target date")
@@ -71,7 +73,8 @@ def run(spark: SparkSession, silver_root: str, gold_root: str, data_type: str =
 
     Every check looks at the rows that are then written, and all checks come before the first write:
     not-null and unique columns, and for content that each day's contracts reconcile. Days of the range
-    without rows lose their partitions; without a start and an end a model is replaced whole.
+    without rows lose their partitions; without a start and an end a model is replaced whole. The content
+    models change together: a run that fails or dies leaves all of them as they were.
     """
     if data_type == "content":
         return _run_content(spark, silver_root, gold_root, start, end)
@@ -88,10 +91,16 @@ def run(spark: SparkSession, silver_root: str, gold_root: str, data_type: str =
 
 
 def _run_content(spark: SparkSession, silver_root: str, gold_root: str, start, end) -> DataFrame | None:
-    def silver(table):
+    def stored_silver(table):
         return or_missing(lambda: read_table(spark, silver_root, "content", table, start, end))
 
-    summary = silver("daily_summary")
+    def silver(table):
+        df = stored_silver(table)
+        if df is None:
+            raise ValueError(f"silver has daily_summary but no {table}")
+        return df
+
+    summary = stored_silver("daily_summary")
     if summary is None:
         return None
     models = {"gold_kpi_metrics": gold.kpi_metrics(summary)}
@@ -101,10 +110,10 @@ def _run_content(spark: SparkSession, silver_root: str, gold_root: str, start, e
         models[name] = gold.contract_model(name, silver(name))
         checks.append(expectations.contract_checks(models[name]))
     expectations.require(*checks)
-    for name, model in models.items():
-        path = model_path(gold_root, name)
-        write_days(model, path, DATE, whole_table=start is None and end is None)
-        _clear_empty(spark, model, path, start, end)
+    with Publication(spark, gold_root, [*models], DATE) as tables:
+        for name, model in models.items():
+            tables.write(name, model)
+        tables.publish(start, end)
     stored = {name: or_missing(lambda: spark.read.parquet(model_path(gold_root, name))) for name in models}
     for name, df in stored.items():
         if df is not None:

@@ -9,7 +9,8 @@ from viewstats.operators import content, search
 from viewstats.schemas import BRONZE_CONTENT, CONTRACT_STATS, LOAD_DATE
 from viewstats.sources.layers import or_missing, read_history, read_last_day, read_table
 from viewstats.sources.paths import table_path
-from viewstats.sources.sinks import clear_range, write_search_trending, write_silver
+from viewstats.sources.published import Publication
+from viewstats.sources.sinks import write_search_trending
 
 CONTENT_TABLES = [
     "contract_stats", "daily_summary", "contract_most_watch", "contract_taste", "contract_type",
@@ -49,33 +50,29 @@ def run_content(spark: SparkSession, bronze_root: str, silver_root: str,
     table then carries every contract on every day, so it grows with contracts times days), ``prior``
     days only, or the whole stored ``snapshot``.
     """
-    whole = start is None and end is None
     bronze = or_missing(lambda: read_table(
         spark, bronze_root, "content", start=start, end=end, schema=BRONZE_CONTENT))
     paths = {name: table_path(silver_root, "content", name) for name in CONTENT_TABLES}
-    present = set() if bronze is None else {
-        r[0] for r in bronze.select(LOAD_DATE).distinct().collect()}  # the days of the range
-    for path in paths.values():
-        clear_range(spark, path, present, start, end)
-    if not present:
-        return None
-    write_silver({"contract_stats": content.contract_stats(content.enrich(bronze))}, silver_root,
-                 whole_table=whole)
-
-    stats = read_table(spark, silver_root, "content", "contract_stats", start, end, CONTRACT_STATS)
+    empty = bronze is None or bronze.isEmpty()
+    with Publication(spark, table_path(silver_root, "content"), CONTENT_TABLES) as run_tables:
+        if not empty:
+            _write_content(spark, run_tables, bronze, silver_root, start, mode)
+        run_tables.publish(start, end)
+    return None if empty else paths
+
+
+def _write_content(spark: SparkSession, tables: Publication, bronze: DataFrame, silver_root: str,
+                   start, mode: str) -> None:
+    tables.write("contract_stats", content.contract_stats(content.enrich(bronze)))
+    stats = tables.read("contract_stats", CONTRACT_STATS)
     earlier = _earlier(spark, silver_root, start, mode)
     # Projections of stored day partitions: no shuffle before the write.
-    write_silver({
-        "contract_most_watch": content.most_watch(stats),
-        "contract_taste": content.taste(stats),
-        "contract_type": content.contract_type(stats),
-    }, silver_root, rebalance=False, whole_table=whole)
-    types = read_table(spark, silver_root, "content", "contract_type", start, end)
-    write_silver({
-        "daily_summary": content.daily_summary(stats, content.platform_devices(bronze)),
-        **_activeness_tables(stats, types, earlier, mode),
-    }, silver_root, whole_table=whole)
-    return paths
+    tables.write("contract_most_watch", content.most_watch(stats), rebalance=False)
+    tables.write("contract_taste", content.taste(stats), rebalance=False)
+    tables.write("contract_type", content.contract_type(stats), rebalance=False)
+    tables.write("daily_summary", content.daily_summary(stats, content.platform_devices(bronze)))
+    for name, rows in _activeness_tables(stats, tables.read("contract_type"), earlier, mode).items():
+        tables.write(name, rows)
 
 
 def _earlier(spark: SparkSession, silver_root: str, start, mode: str) -> DataFrame | None:
@@ -126,6 +123,8 @@ def backfill_most_watch_taste(spark: SparkSession, silver_root: str, start=None,
         spark, silver_root, "content", "contract_stats", start, end, CONTRACT_STATS))
     if stats is None:
         return None
-    write_silver({"contract_most_watch": content.most_watch(stats),
-                  "contract_taste": content.taste(stats)}, silver_root, rebalance=False)
+    with Publication(spark, table_path(silver_root, "content"), ["contract_most_watch", "contract_taste"]) as tables:
+        tables.write("contract_most_watch", content.most_watch(stats), rebalance=False)
+        tables.write("contract_taste", content.taste(stats), rebalance=False)
+        tables.publish_written()
     return stats.groupBy("_load_date").count()

@@ -8,8 +8,9 @@ from viewstats.sources.paths import delete_path, quarantine_path, stored_days, t
 
 
 def write_days(df: DataFrame, path: str, day_column: str = LOAD_DATE, rebalance: bool = True,
-               file_format: str = "parquet", whole_table: bool = False) -> None:
-    """Overwrite exactly the days present in ``df``, or with ``whole_table`` every stored day.
+               file_format: str = "parquet", whole_table: bool = False, append: bool = False) -> None:
+    """Overwrite exactly the days present in ``df``, or with ``whole_table`` every stored day; with
+    ``append`` only add files (see ``published``).
 
     Shuffled frames hold every day in every task, so rows are first rebalanced by day: AQE then
     packs small days together and splits a day that is larger than the advisory partition size.
@@ -17,7 +18,7 @@ def write_days(df: DataFrame, path: str, day_column: str = LOAD_DATE, rebalance:
     """
     rows = df.hint("rebalance", day_column) if rebalance else df
     overwrite = "static" if whole_table else "dynamic"
-    (rows.write.mode("overwrite").option("partitionOverwriteMode", overwrite)
+    (rows.write.mode("append" if append else "overwrite").option("partitionOverwriteMode", overwrite)
          .partitionBy(day_column).format(file_format).save(path))
 
 
