@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from viewstats.functions.dates import load_date_range
 from viewstats.schemas import LOAD_DATE, RAW_CONTENT
+from viewstats.sources.layers import or_missing
 from viewstats.sources.paths import table_path
 
 # A landed file is ``<day>.json`` or sits in a folder named after its day.
@@ -64,6 +65,13 @@ def _landed(df: DataFrame, start, end) -> DataFrame:
                  .withColumn(LOAD_DATE, F.col(LOAD_DATE).cast("string")))
 
 
+def dropped_days(spark: SparkSession, drop: str) -> list[str]:
+    """The days that dropped files are named after, from one listing."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    days = or_missing(lambda: files.load(drop).select(_day_from_path().cast("string").alias("day")).distinct())
+    return [] if days is None else sorted(r[0] for r in days.where("day IS NOT NULL").collect())
+
+
 def undated_files(spark: SparkSession, drop: str) -> DataFrame:
     """Paths of dropped files that name no valid day and are therefore never landed."""
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(drop)
