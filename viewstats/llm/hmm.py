@@ -37,11 +37,12 @@ LONGEST = 64
 COUNTED = 300_000
 CODE = np.dtype(np.min_scalar_type(END)).newbyteorder("<")  # of stored symbols
 ROUNDS = 14
-SCALED = 8  # steps after which states are scaled; none shrinks below its least move in a step
+SCALED = 2  # steps after which states are scaled; none shrinks below its least move in a step
+LIKELIHOOD_SCALED = 8  # likewise for likelihoods, in double precision
 TASK_TOKENS = 1 << 22  # of a task in a round, at least
 RELEASED = 4  # rounds after which shuffle files are let go
 PRIOR = 20.0  # tokens of the whole corpus' mix that each state is given
-BLOCK_TOKENS, SCORED_TOKENS = 1 << 18, 1 << 20  # of a block: in training, in scoring
+BLOCK_TOKENS, BLOCK_TEXTS, MOST_TOKENS = 1 << 16, 256, 1 << 21  # see _blocks
 GROUP_TOKENS = 1 << 22  # read before texts of like length are put together
 SIGNS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
@@ -181,14 +182,18 @@ def from_counts(start: np.ndarray, move: np.ndarray, emit: np.ndarray, shares: n
     return Model(start / start.sum(), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=0))
 
 
-def _blocks(texts: list[np.ndarray], most: int = BLOCK_TOKENS) -> Iterator[np.ndarray]:
-    """Places of texts of like length, longest first, that make up a block together."""
+def _blocks(texts: list[np.ndarray], tokens: int = BLOCK_TOKENS, rows: int = BLOCK_TEXTS,
+            most: int = MOST_TOKENS) -> Iterator[np.ndarray]:
+    """Places of texts of like length, longest first, that make up a block together: about `tokens` of
+    short texts, which stay in the processor's cache, but `rows` texts at least, as a step of a few texts
+    costs as much as one of many, and `most` tokens at most."""
     order = np.argsort([-len(t) for t in texts], kind="stable")
     start = 0
     while start < len(order):
-        rows = max(1, most // len(texts[order[start]]))
-        yield order[start:start + rows]
-        start += rows
+        length = len(texts[order[start]])
+        chosen = max(1, min(max(tokens // length, rows), most // length))
+        yield order[start:start + chosen]
+        start += chosen
 
 
 def _grid(texts: list[np.ndarray], chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -203,16 +208,20 @@ def _grid(texts: list[np.ndarray], chosen: np.ndarray) -> tuple[np.ndarray, np.n
 
 def log10_likelihood(model: Model, texts: list[np.ndarray]) -> np.ndarray:
     """log10 of the exact probability of each text, by the scaled forward recursion."""
-    out = np.zeros(len(texts))
-    for chosen in _blocks(texts, SCORED_TOKENS):
+    out, onward, emitted = np.zeros(len(texts)), model.move.T.copy(), model.emit.T.copy()
+    for chosen in _blocks(texts):
         grid, alive = _grid(texts, chosen)
-        state = np.broadcast_to(model.start, (len(chosen), STATES))
-        scores = np.zeros(len(chosen))
-        for step, m in enumerate(alive):
-            state = (state[:m] @ model.move if step else state) * model.emit[grid[step, :m]]
-            scale = state.sum(axis=1)
-            state = state / scale[:, None]
-            scores[:m] += np.log10(scale)
+        state, scores = np.repeat(model.start[:, None], len(chosen), axis=1), np.zeros(len(chosen))
+        last = len(alive) - 1
+        for step, m in enumerate(alive.tolist()):
+            if step:
+                state = onward @ state[:, :m]
+            state *= emitted[:, grid[step, :m]]
+            # Doubles hold several steps; a text that ends here is scaled for the last time.
+            if step % LIKELIHOOD_SCALED == 0 or step == last or alive[step + 1] < m:
+                scale = state.sum(axis=0)
+                state /= scale
+                scores[:m] += np.log10(scale)
         out[chosen] = scores
     return out
 
@@ -221,48 +230,50 @@ def expected_counts(model: Model, texts: list[np.ndarray], start, move, emit, ti
     """Adds the expected counts of first states, moves and emissions of the texts, each text `times` over.
 
     Emissions go relative to the likeliest state's, which leaves the states' probabilities as they are.
-    Arrays are laid out by step, state and text."""
+    Arrays are laid out by step, state and text, and hold single precision; counts are added up in double."""
     most = model.emit.max(axis=1, keepdims=True)
-    relative = np.divide(model.emit, most, out=np.zeros_like(model.emit), where=most > 0).T.copy()
-    onward, moved = model.move.T.copy(), np.zeros((STATES, STATES))
+    relative = np.divide(model.emit, most, out=np.zeros_like(model.emit), where=most > 0).T.astype(np.float32)
+    onward, first = model.move.T.astype(np.float32), model.start.astype(np.float32)[:, None]
+    back, moved = model.move.astype(np.float32), np.zeros((STATES, STATES))
+    room = np.empty((3, 0), np.float32)  # used again by every block
     for chosen in _blocks(texts):
         grid, alive = _grid(texts, chosen)
         alive, (steps, n) = alive.tolist(), grid.shape
-        weight = np.ones(n) if times is None else times[chosen].astype(np.float64)
-        emitted, forward = np.empty((steps, STATES, n)), np.zeros((steps, STATES, n))
+        grid = grid.astype(np.intp)
+        weight = np.ones(n, np.float32) if times is None else times[chosen].astype(np.float32)
+        # By step: what is expected before the symbol is seen, after it, and the symbol's emission, which
+        # becomes that times what comes after the step.
+        if room.shape[1] < steps * STATES * n:
+            room = np.empty((3, steps * STATES * n), np.float32)
+        before, after, follows = room[:, :steps * STATES * n].reshape(3, steps, STATES, n)
+        before[:, :, alive[-1]:] = after[:, :, alive[-1]:] = 0  # where texts have ended
         for k in range(STATES):
-            np.take(relative[k], grid, out=emitted[:, k], mode="clip")
+            np.take(relative[k], grid, out=follows[:, k], mode="clip")
         for step, m in enumerate(alive):
-            state = forward[step, :, :m]
+            guess, state = before[step, :, :m], after[step, :, :m]
             if step:
-                np.matmul(onward, forward[step - 1, :, :m], out=state)
+                np.matmul(onward, after[step - 1, :, :m], out=guess)
             else:
-                state[...] = model.start[:, None]
-            state *= emitted[step, :, :m]
+                guess[...] = first
+            np.multiply(guess, follows[step, :, :m], out=state)
             if step % SCALED == 0:
                 state /= state.sum(axis=0)
-        follows = None  # emission of the next step times what comes after it
-        for step in range(steps - 1, -1, -1):
-            m = alive[step]
-            longer = alive[step + 1] if step + 1 < steps else 0
-            backward = np.ones((STATES, m))
-            if longer:
-                np.matmul(model.move, follows, out=backward[:, :longer])
-            state = forward[step, :, :m]
-            both = state * backward
-            share = weight[:m] / both.sum(axis=0)
-            if longer:
-                moved += (state[:, :longer] * share[:longer]) @ follows.T
-            np.multiply(both, share, out=state)  # from here on: the state's probability at this step
-            if step == 0:
-                start += state.sum(axis=1)
+        for step in range(steps - 2, -1, -1):
+            m = alive[step + 1]
+            rest = back @ follows[step + 1, :, :m]
             if step % SCALED == 0:
-                backward /= backward.sum(axis=0)
-            backward *= emitted[step, :, :m]
-            follows = backward
+                rest /= rest.sum(axis=0)
+            follows[step, :, :m] *= rest
+        before *= follows  # in proportion to the states' probabilities
+        total = before.sum(axis=1)
+        share = np.divide(weight, total, out=np.zeros_like(total), where=total > 0)
+        before *= share[:, None]
+        start += before[0].sum(axis=1)
+        after[:-1] *= share[1:, None]  # zero where the text ends
+        moved += (after[:-1] @ follows[1:].swapaxes(1, 2)).sum(axis=0, dtype=np.float64)
         flat = grid.ravel()
         for k in range(STATES):
-            emit[:, k] += np.bincount(flat, forward[:, k].ravel(), minlength=len(emit))
+            emit[:, k] += np.bincount(flat, before[:, k].ravel(), minlength=len(emit))
     move += model.move * moved
 
 
