@@ -1,5 +1,6 @@
 """Directly addressable codes and the tokenizer in front of them."""
 
+import json
 import random
 
 import numpy as np
@@ -85,3 +86,29 @@ def test_no_documents(spark):
     path = scratch(spark, "t")
     token_ids.write_tokens(documents(spark, []), path, DEFINITION)
     assert token_ids.read_tokens(spark, path).count() == 0
+
+
+def _definition(**changes):
+    definition = json.loads(DEFINITION)
+    for field, value in changes.items():
+        definition[field] = value if value is None or field == "normalizer" else definition[field] | value
+    return json.dumps(definition)
+
+
+@pytest.mark.parametrize("changes", [
+    {}, {"pre_tokenizer": {"add_prefix_space": True}}, {"normalizer": {"type": "Lowercase"}},
+    {"pre_tokenizer": {"use_regex": False}}])
+def test_other_definitions_give_what_the_library_gives(changes):
+    definition = _definition(**changes)
+    encoder, library = token_ids.Encoder(definition), Tokenizer.from_str(definition)
+    for text in ["Hello there", " It's 12.  Fine,\n\nthen. ", "Ab cD, ab. Ab\tx", "été 漢字 a", "", "a,", ", . a.b"]:
+        got = np.frombuffer(encoder(text), "<u4").tolist()
+        assert got == library.encode(text, add_special_tokens=False).ids, text
+
+
+def test_long_pieces_are_not_remembered():
+    encoder = token_ids.Encoder(_definition())
+    for i in range(40):
+        encoder("word " + chr(97 + i % 26) * 5000 + f"{i} end")
+    held = [*encoder.pieces, *encoder.parts]
+    assert held and max(map(len, held)) <= encoder.pieces.longest

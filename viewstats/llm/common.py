@@ -17,6 +17,20 @@ ASCII_LOWER = "abcdefghijklmnopqrstuvwxyz"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+def quoted(name: str) -> Column:
+    """A column by its whole name, dots included."""
+    return F.col(f"`{name.replace('`', '``')}`")
+
+
+def free_names(df: DataFrame, *wanted: str) -> list[str]:
+    """The wanted names, with signs before them that make them differ from every column of `df`."""
+    taken = {c.lower() for c in df.columns}
+    before = "__"
+    while any(f"{before}{name}".lower() in taken for name in wanted):
+        before += "_"
+    return [before + name for name in wanted]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -72,16 +86,19 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 class Memo(dict):
-    """Remembers what `make` gives for the latest keys, between `most` and twice as many of them."""
+    """Remembers what `make` gives for the latest keys, between `most` and twice as many of them, none
+    longer than `longest`."""
 
-    def __init__(self, make: Callable, most: int = 200_000):
+    def __init__(self, make: Callable, most: int = 200_000, longest: int = 64):
         super().__init__()
-        self.make, self.most, self.older = make, most, {}
+        self.make, self.most, self.longest, self.older = make, most, longest, {}
 
     def __missing__(self, key):
         value = self.older.get(key)
         if value is None:
             value = self.make(key)
+            if len(key) > self.longest:
+                return value
         if len(self) >= self.most:
             self.older = dict(self)
             self.clear()

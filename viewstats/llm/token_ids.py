@@ -30,12 +30,24 @@ class _Unsplittable(Exception):
     """A space in the text is not where pieces meet."""
 
 
+def _splits_at_spaces(definition: dict) -> bool:
+    """Whether a definition is plain byte-level BPE: nothing rewrites the text, the pattern above parts it,
+    and a part always gives the same tokens."""
+    before, model = definition.get("pre_tokenizer") or {}, definition["model"]
+    return (before.get("type") == "ByteLevel" and not before.get("add_prefix_space", True)
+            and before.get("use_regex", True) and definition.get("normalizer") is None
+            and definition.get("truncation") is None and definition.get("padding") is None
+            and model.get("type") == "BPE" and not model.get("dropout")
+            and not model.get("continuing_subword_prefix") and not model.get("end_of_word_suffix"))
+
+
 class Encoder:
     """A byte-level BPE tokenizer of the tokenizers library with its results remembered.
 
     BPE treats the parts of a text that its pattern finds each on its own, and a single space between
     two other characters always begins a part. So texts are cut at such spaces and each distinct piece
-    is encoded once. Texts where that does not hold, or with special tokens, go to the library whole.
+    is encoded once. Texts where that does not hold, or with special tokens, go to the library whole, as
+    do all texts of any other tokenizer.
     """
 
     def __init__(self, definition: str):
@@ -43,7 +55,9 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_str(definition)
         self.model = self.tokenizer.model
-        added = [t["content"] for t in json.loads(definition)["added_tokens"]]
+        fields = json.loads(definition)
+        self.splits = _splits_at_spaces(fields)
+        added = [t["content"] for t in fields["added_tokens"]]
         self.special = re.compile("|".join(map(re.escape, added)) or r"(?!)")
         self.pieces, self.parts = Memo(self.after_space), Memo(self.part)
         visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -52,19 +66,26 @@ class Encoder:
 
     def part(self, part: str) -> bytes:
         """Ids, as packed uint32, of one part that the pattern finds."""
-        shown = ("\u0120" + part[1:] if part[0] == " " and part[1:].isascii() and part[1:].isalpha()
-                 else "".join(map(self.byte.__getitem__, part.encode())))
+        if part.isascii() and part.isalpha():
+            shown = part
+        elif part[0] == " " and part.isascii() and part[1:].isalpha():
+            shown = "\u0120" + part[1:]
+        else:
+            shown = "".join(map(self.byte.__getitem__, part.encode()))
         ids = [token.id for token in self.model.tokenize(shown)]
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def after_space(self, piece: str) -> bytes:
         """Ids of a space and the piece after it."""
+        if piece.isascii():
+            if piece.isalpha():
+                ids = [token.id for token in self.model.tokenize("\u0120" + piece)]
+                return struct.pack(f"<{len(ids)}I", *ids)
+            if piece[-1:] in (",", ".") and piece[:-1].isalpha():
+                # The word is likely to be there, or to be met, without the sign too.
+                return self.pieces[piece[:-1]] + self.parts[piece[-1]]
         if not piece or piece[0].isspace() or piece[-1].isspace():
             raise _Unsplittable
-        if piece.isascii() and piece.isalpha():
-            return self.parts[" " + piece]
-        if piece[-1] in ",." and piece.isascii() and piece[:-1].isalpha():
-            return self.parts[" " + piece[:-1]] + self.parts[piece[-1]]
         return self.piece(" " + piece)
 
     def library(self, text: str) -> bytes:
@@ -77,6 +98,8 @@ class Encoder:
 
     def __call__(self, text: str) -> bytes:
         """The ids of a whole text as packed little-endian uint32."""
+        if not self.splits:
+            return self.library(text)
         first, *rest = text.split(" ")
         try:
             if first and first[-1].isspace():
