@@ -29,6 +29,7 @@ from viewstats.llm.store import Store
 ARCHIVE_BYTES = 32 << 20  # before compression
 BLOCK_LINES = 512
 FILE_BLOCKS = 2048
+TASK_BYTES = 16 << 20  # of compressed records, for one reading task
 READ_BYTES = 4 << 20  # neighbouring records read at once
 SALTS = 32
 RECORD_URN = "urn:x-page:"
@@ -261,7 +262,9 @@ def look_up(queries: DataFrame, path: str) -> DataFrame:
                 columns = zip(*found)
                 yield pa.RecordBatch.from_pydict(dict(zip(("surt", "record", "file", "offset", "length"), columns)))
 
-    ordered = (queries.select("surt", "record").distinct().repartitionByRange("surt", "record")
+    # Not left to Spark, which would put tasks together by the few bytes of their keys.
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ordered = (queries.select("surt", "record").distinct().repartitionByRange(tasks, "surt", "record")
                .sortWithinPartitions("surt", "record"))
     return ordered.mapInArrow(find, "surt string, record string, file string, offset long, length long")
 
@@ -317,8 +320,11 @@ def read_records(captures: DataFrame, path: str, read_bytes: int = READ_BYTES) -
             "refers_to": column("refers_to", pa.string()), "payload_digest": column("digest", pa.string()),
             "payload_bytes": column("size", pa.int64()), "payload": column("payload", pa.binary())})
 
-    ordered = (captures.select("file", "offset", "length").repartition("file", stretch)
-               .sortWithinPartitions("file", "offset"))
+    captures = cut(captures.select("file", "offset", "length"))
+    total = captures.agg(F.sum("length")).first()[0] or 0
+    # A capture is a few bytes for Spark, so the tasks are counted by what they will read.
+    tasks = max(captures.sparkSession.sparkContext.defaultParallelism, -(-total // TASK_BYTES))
+    ordered = captures.repartition(tasks, "file", stretch).sortWithinPartitions("file", "offset")
     return ordered.mapInArrow(read, "record string, record_type string, refers_to string, "
                               "payload_digest string, payload_bytes long, payload binary")
 
