@@ -18,9 +18,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from viewstats.llm.common import cut, whole, word_count
+from viewstats.llm.common import cut, free_names, quoted, whole, word_count
 
-BLOCK_TOKENS = 256
+BLOCK_TOKENS = 256  # at most
+BLOCKS_OF_LEAST = 32  # blocks of the smallest target, at least
+MOST_BLOCKS = 1 << 30  # of all sources, at most
 STRIDE = 2_147_483_647  # prime and above any number of blocks, hence coprime with it
 MOST_BROADCAST = 100_000  # sources, a row of a few numbers each
 
@@ -84,11 +86,23 @@ def apportion(weights: DataFrame, houses: list[int]) -> DataFrame:
         (F.first("seats") + F.sum("step")).cast("long").alias("seats"))
 
 
-def quotas(sources: DataFrame, share: float, most: float, shards: int, block_tokens: int) -> DataFrame:
+def block_size(total: float, least: float | None, size: float, most: int = BLOCK_TOKENS) -> int:
+    """Tokens of a block: so few that the smallest positive target has a good number of blocks, unless
+    all targets (`total`) or sources (`size`) would then have more blocks than can be numbered."""
+    fine = most if least is None else min(most, int(least / BLOCKS_OF_LEAST))
+    return max(1, fine, math.ceil(max(total, size) / MOST_BLOCKS))
+
+
+def quotas(sources: DataFrame, share: float, most: float, shards: int, block_tokens: int = BLOCK_TOKENS
+           ) -> tuple[DataFrame, int]:
     """Adds to (source, source_size, weight): target, blocks (that its tokens fill), until (seats up
-    to each shard, so shard s takes until[s] - until[s-1] blocks) and quota (all of them)."""
+    to each shard, so shard s takes until[s] - until[s-1] blocks) and quota (all of them). Also the
+    tokens of a block, at most `block_tokens` if targets are not too many."""
     targets = cut(target_sizes(sources, share, most))
-    total = targets.agg(F.sum("target")).first()[0] or 0.0
+    total, least, size = targets.agg(F.sum("target"), F.min(F.when(F.col("target") > 0, F.col("target"))),
+                                     F.sum("source_size")).first()
+    total = total or 0.0
+    block_tokens = block_size(total, least, size or 0, block_tokens)
     seats = round(total / block_tokens)
     seated = apportion(targets.select("source", F.col("target").alias("weight")),
                        [seats * (s + 1) // shards for s in range(shards)])
@@ -98,15 +112,19 @@ def quotas(sources: DataFrame, share: float, most: float, shards: int, block_tok
     return (targets.join(until, F.col("source").eqNullSafe(F.col("seated")), "left").drop("seated")
             .withColumn("blocks", blocks)
             .withColumn("quota", F.least(F.coalesce(F.element_at("until", -1), F.lit(0)),
-                                         F.floor(blocks * F.lit(float(most))))))
+                                         F.floor(blocks * F.lit(float(most)))))), block_tokens
 
 
 def mix(docs: DataFrame, weights: Callable[[DataFrame], DataFrame], share: float, most: float,
         shards: int = 8, seed: int = 23, block_tokens: int = BLOCK_TOKENS, key: str = "doc_id",
         text: str = "text", source: str = "source") -> DataFrame:
     """One row per row of `docs`: key, source, fingerprint (of the text), size (words), source_size,
-    target, taken (words in taken blocks, repeats counted), copies (times its first word is taken),
-    shards (that take it).
+    target, taken (words in taken blocks, repeats counted), copies (times it is in a mix of whole
+    documents), shards (that then take it).
+
+    Whole documents fill the words of their source's quota in the seeded order, all as often as the quota
+    holds the whole source, the rest to the document that the quota ends in, which counts if its first
+    half is inside. So a source's words differ from its quota by half a document at most.
 
     `weights` maps (source, source_size) rows to (source, weight). A null source is a source of its
     own; a null or empty text has no words and is never taken. Rows that repeat in key, source and text
@@ -120,7 +138,8 @@ def mix(docs: DataFrame, weights: Callable[[DataFrame], DataFrame], share: float
     sources = cut(rows.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size")))
     weighted = sources.join(weights(sources).select(F.col("source").alias("weighed"), "weight"),
                             F.col("source").eqNullSafe(F.col("weighed")), "left").drop("weighed")
-    plan = cut(quotas(weighted, share, most, shards, block_tokens)).withColumnRenamed("source", "planned")
+    plan, block_tokens = quotas(weighted, share, most, shards, block_tokens)
+    plan = cut(plan).withColumnRenamed("source", "planned")
     if sources.count() <= MOST_BROADCAST:
         plan = F.broadcast(plan)
 
@@ -158,11 +177,19 @@ def mix(docs: DataFrame, weights: Callable[[DataFrame], DataFrame], share: float
     first, last = F.expr(f"start div {block_tokens}"), F.expr(f"(start + size - 1) div {block_tokens}")
     taken = F.aggregate(F.sequence(first, last), F.lit(0).cast("long"),
                         lambda total, block: total + overlap(block) * times(block))
-    draws = F.transform(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1), lambda again: F.size(
-        F.filter("until", lambda seats: seats <= again * F.col("blocks") + turn(first))))
-    some = F.col("size") > 0
-    return (placed.withColumn("taken", F.when(some, taken).otherwise(F.lit(0)).cast("long"))
-            .withColumn("copies", F.when(some, times(first)).otherwise(F.lit(0)).cast("long"))
+    words = F.least(F.col("quota") * block_tokens, F.col("source_size") * F.lit(float(most))).cast("long")
+    size = F.greatest("source_size", F.lit(1))
+    placed = placed.withColumn("words", words).withColumn("copies", F.when(F.col("size") > 0, F.floor(
+        F.col("words") / size) + (2 * F.col("start") + F.col("size") <= 2 * (F.col("words") % size)).cast("long")
+    ).otherwise(F.lit(0)).cast("long"))
+    def shard(again):
+        """Shards take seats in proportion, so a seeded place among all seats gives the shard."""
+        place = F.pmod(turn(first) + again * F.ceil(F.col("blocks") / 2), F.col("blocks"))
+        seat = F.floor(place * F.element_at("until", -1) / F.col("blocks"))
+        return F.least(F.size(F.filter("until", lambda seats: seats <= seat)), F.lit(shards - 1))
+
+    draws = F.transform(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1), shard)
+    return (placed.withColumn("taken", F.when(F.col("size") > 0, taken).otherwise(F.lit(0)).cast("long"))
             .withColumn("shards", F.when(F.col("copies") > 0, draws).otherwise(F.array().cast("array<int>")))
             .select("key", "source", "fingerprint", "size", "source_size", "target", "taken", "copies",
                     "shards"))
@@ -171,16 +198,18 @@ def mix(docs: DataFrame, weights: Callable[[DataFrame], DataFrame], share: float
 def mixed_documents(docs: DataFrame, weights: Callable[[DataFrame], DataFrame], share: float,
                     most: float, key: str = "doc_id", text: str = "text", source: str = "source",
                     **options) -> DataFrame:
-    """The documents of the mix, whole and with all their columns, each as often as its first word is
-    taken. Rows that repeat in key, source and text are put together before they are counted out."""
+    """The documents of the mix, whole and with all their columns, each as often as `mix` counts it (`copies`).
+    Rows that repeat in key, source and text are put together before they are counted out."""
+    of, by, what, times, again = free_names(docs, "of", "by", "what", "times", "again")
     drawn = cut(mix(docs, weights, share, most, key=key, text=text, source=source, **options)
-                .groupBy(F.col("key").alias("__key"), F.col("source").alias("__source"),
-                         F.col("fingerprint").alias("__fingerprint"))
-                .agg(F.sum("copies").alias("__copies"), F.count(F.lit(1)).alias("__rows")))
-    if not drawn.where(F.col("__rows") > 1).isEmpty():
+                .groupBy(F.col("key").alias(of), F.col("source").alias(by), F.col("fingerprint").alias(what))
+                .agg(F.sum("copies").alias(times), F.count(F.lit(1)).alias("rows")))
+    if not drawn.where(F.col("rows") > 1).isEmpty():
         docs = docs.dropDuplicates([key, source, text])
-    drawn = drawn.where(F.col("__copies") > 0).drop("__rows")
-    alike = (F.col(key).eqNullSafe(F.col("__key")) & F.col(source).eqNullSafe(F.col("__source"))
-             & (F.xxhash64(whole(text)) == F.col("__fingerprint")))
-    return docs.join(drawn, alike).withColumn(
-        "__again", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies")))).select(*docs.columns)
+    drawn = drawn.where(F.col(times) > 0).drop("rows")
+    alike = (F.col(key).eqNullSafe(F.col(of)) & F.col(source).eqNullSafe(F.col(by))
+             & (F.xxhash64(whole(text)) == F.col(what)))
+    columns = [quoted(c) for c in docs.columns]
+    return docs.join(drawn.select(*[F.col(c) for c in (of, by, what, times)]), alike).withColumn(
+        again, F.explode(F.sequence(F.lit(1).cast("long"), F.col(times)))).select(*columns)
+
