@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 STEMS = ["amber", "basil", "cedar", "delta", "ember", "fable", "grove", "haven", "inlet", "jumbo"]
 CLASHING = ["key", "digest", "salt", "norm", "hash", "size", "row", "id", "label", "n", "range", "copy",
-            "start", "score", "word", "sample"]
+            "start", "score", "word", "sample", "__key", "__hash", "__copy", "__bucket", "__n", "a.b"]
 
 
 def prose(rng, words, vocabulary=400):

@@ -188,3 +188,49 @@ def test_mixed_documents_are_whole(spark):
         copies[r["key"], r["fingerprint"]] += r["copies"]
     out = Counter(map(tuple, got.select("doc_id", F.xxhash64("text")).collect()))
     assert out == +copies and got.columns == clashing(docs).columns
+
+
+def kept_and_quotas(rows):
+    """Words of whole documents per source, and the words that its quota of blocks stands for."""
+    kept, targets, longest = Counter(), {}, Counter()
+    for r in rows:
+        kept[r["source"]] += r["size"] * r["copies"]
+        targets[r["source"]] = r["target"]
+        longest[r["source"]] = max(longest[r["source"]], r["size"])
+    return kept, targets, longest
+
+
+@pytest.mark.parametrize("seed", [23, 1, 2, 3])
+def test_whole_documents_keep_to_their_target(spark, seed):
+    rng = random.Random(seed)
+    rows = [(i, "w " * 50_000 if i == 1 else prose(rng, rng.randrange(5, 40))) for i in range(300)]
+    kept, targets, longest = kept_and_quotas(mixed(spark, rows, seed=seed).collect())
+    for source, target in targets.items():  # half a document, and a block by which the quota is rounded
+        assert abs(kept[source] - target) <= longest[source] / 2 + 256, source
+
+
+def test_small_sources_take_part(spark):
+    """Ten words a document, a target of 100 words; and a source of 100 words beside one of 100,000."""
+    small = [(i, "one two three four five six seven eight nine ten") for i in range(5)]
+    rows = mixing.mix(documents(spark, small).withColumn("source", F.lit("a")), mixing.cycled_weights([1]), 2.0, 2.0).collect()
+    assert abs(sum(r["taken"] for r in rows) - 100) <= 6 and sum(r["size"] * r["copies"] for r in rows) == 100
+    large = [(i, "w " * 1000) for i in range(100)] + [(100 + i, "w " * 10) for i in range(10)]
+    docs = spark.createDataFrame([(k, t, "a" if k < 100 else "b") for k, t in large], "doc_id long, text string, source string")
+    rows = mixing.mix(docs, mixing.cycled_weights([1, 1]), 1.5, 2.0).collect()
+    taken = Counter()
+    for r in rows:
+        taken[r["source"]] += r["taken"]
+    assert abs(taken["b"] - 200) <= 12 and abs(taken["a"] - rows[0]["target"]) <= 300 or rows[0]["source"] == "b"
+    assert mixing.block_size(0.0, None, 0) == 256 and mixing.block_size(2.0 ** 40, 10.0, 2.0 ** 41) == 2048
+
+
+def test_rows_alike_in_key_and_text_spread(spark, tmp_path):
+    """A third of all rows have a null key and an empty text and differ in another column only."""
+    docs = spark.range(6000).select(
+        F.when(F.col("id") % 3 > 0, F.col("id")).alias("doc_id"), F.when(F.col("id") % 3 > 0, "some text").alias("text"),
+        F.col("id").cast("string").alias("url"))
+    records = sharding._records(docs, "doc_id", "text", 17, True).withColumn("bucket", F.pmod("hash", F.lit(40)))
+    sizes = [r["count"] for r in records.groupBy("bucket").count().collect()]
+    assert len(sizes) == 40 and max(sizes) < 2 * 6000 / 40
+    written = sharding.external_shuffle(docs, str(tmp_path / "shards"), shards=4, bucket_bytes=400)
+    assert values(written, "doc_id", "text", "url") == values(docs)

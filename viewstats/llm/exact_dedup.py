@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from viewstats.llm.common import cut, lower_ascii, whole
+from viewstats.llm.common import cut, free_names, lower_ascii, whole
 
 SALTS = 32
 
@@ -59,6 +59,7 @@ def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", salts
 def drop_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of `docs` that stay, with all their columns. Of rows that repeat key and text all stay."""
     groups = exact_groups(docs, key, text)
-    gone = groups.where(~F.col("kept")).select(F.col("key").alias("__key"), F.col("digest").alias("__digest"))
-    alike = F.col(key).eqNullSafe(F.col("__key")) & (sha256(lower_ascii(whole(text))) == F.col("__digest"))
+    of, what = free_names(docs, "key", "digest")
+    gone = groups.where(~F.col("kept")).select(F.col("key").alias(of), F.col("digest").alias(what))
+    alike = F.col(key).eqNullSafe(F.col(of)) & (sha256(lower_ascii(whole(text))) == F.col(what))
     return docs.join(gone.distinct(), alike, "left_anti")

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from viewstats.llm.common import cut, release, whole
+from viewstats.llm.common import cut, free_names, release, whole
 from viewstats.llm.components import components
 
 LIGHT_MOST = 40  # sizes considered for the light side
@@ -313,7 +313,7 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", **opti
     """The rows of `docs` whose key is the smallest of their component, with all columns. A row without
     words stays. Rows that repeat a key stay if one of them does."""
     stays = F.max(F.col("key").eqNullSafe(F.col("component")))
-    groups = link_sets(docs, key=key, text=text, **options).groupBy(F.col("key").alias("__key")).agg(
-        stays.alias("__stays"))
-    gone = groups.where(~F.col("__stays"))
-    return docs.join(gone, F.col(key).eqNullSafe(F.col("__key")), "left_anti")
+    [of] = free_names(docs, "key")
+    groups = link_sets(docs, key=key, text=text, **options).groupBy(F.col("key").alias(of)).agg(stays.alias("stays"))
+    gone = groups.where(~F.col("stays")).select(of)
+    return docs.join(gone, F.col(key).eqNullSafe(F.col(of)), "left_anti")

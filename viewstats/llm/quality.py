@@ -154,15 +154,16 @@ def _texts(docs: DataFrame, text: str, *others) -> DataFrame:
 
 
 def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text",
-          label: str = "quality", most: int = SAMPLE, seed: int = 3) -> Machine:
-    """A machine fitted on at most `most` labelled rows with about MOST_FEATURES features at most
+          label: str = "quality", most: int = SAMPLE, most_features: int = MOST_FEATURES, seed: int = 3) -> Machine:
+    """A machine fitted on at most `most` labelled rows with about `most_features` features at most
     (chosen by hashes of the key) that are not held out. Rows without key, label or document are not used."""
     usable = labels.where(F.col(key).isNotNull() & F.col(label).isNotNull() & ~held_out(key)).select(
         F.col(key).alias("__key"), F.col(label).cast("double").alias("__label")).distinct()
     n = usable.count()
     if n > most:
         usable = usable.where(F.pmod(F.xxhash64(F.lit(seed), "__key"), F.lit(n)) < most * 95 // 100).limit(most)
-    chosen = _texts(docs.join(F.broadcast(usable), F.col(key) == F.col("__key")), text, "__key", "__label")
+    chosen = _texts(docs.select(F.col(key), F.col(text)).join(F.broadcast(usable), F.col(key) == F.col("__key")),
+                    text, "__key", "__label")
 
     def run(batches):
         featurizer = Featurizer()
@@ -175,8 +176,8 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
 
     rows = cut(chosen.mapInArrow(run, f"key {dict(labels.dtypes)[key]}, label double, columns binary, values binary"))
     total = rows.agg(F.sum(F.octet_length("columns"))).first()[0] or 0
-    if total > 4 * MOST_FEATURES:  # very long texts: fewer of them
-        rows = rows.where(F.pmod(F.xxhash64(F.lit(seed + 1), "key"), F.lit(total)) < 4 * MOST_FEATURES)
+    if total > 4 * most_features:  # very long texts: fewer of them
+        rows = rows.where(F.pmod(F.xxhash64(F.lit(seed + 1), "key"), F.lit(total)) < 4 * most_features)
     sample = sorted(rows.collect(), key=lambda r: (r["key"], r["label"], r["columns"]))
     features = [(np.frombuffer(r["columns"], "<i4").astype(np.int64), np.frombuffer(r["values"], "<f4").astype(np.float64))
                 for r in sample]

@@ -12,16 +12,25 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from viewstats.llm.common import text_bytes, whole
+from viewstats.llm.common import free_names, quoted, text_bytes, whole
 
 BUCKET_BYTES = 16 << 20
 MOST_BROADCAST = 1 << 20  # buckets; a row of two longs each
 
 
-def _with_copy_numbers(docs: DataFrame) -> DataFrame:
-    """Numbers rows that are alike in every column, so that a hash can tell them apart."""
-    counted = docs.groupBy(*docs.columns).agg(F.count(F.lit(1)).alias("__n"))
-    return counted.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__n")))).drop("__n")
+def _records(docs: DataFrame, key: str, text: str, seed: int, repeats: bool) -> DataFrame:
+    """row (all columns of `docs`), key, copy, hash: what a record's place follows from. Where rows repeat
+    a key and text, the hash looks at every column, and rows alike in all of them are numbered."""
+    columns = [quoted(c) for c in docs.columns]
+    row = F.struct(*columns).alias("row")
+    if not repeats:
+        return docs.select(row, F.col(key).alias("key"), F.lit(1).cast("long").alias("copy"),
+                           F.xxhash64(F.lit(seed), F.col(key), whole(text)).alias("hash"))
+    [n] = free_names(docs, "n")
+    copy = F.explode(F.sequence(F.lit(1).cast("long"), F.col(n))).alias("copy")
+    return docs.groupBy(*columns).agg(F.count(F.lit(1)).alias(n)).select(
+        row, F.col(key).alias("key"), F.xxhash64(F.lit(seed), *columns).alias("same"), copy).select(
+        "row", "key", "copy", F.xxhash64(F.lit(seed), "same", "copy").alias("hash"))
 
 
 def external_shuffle(docs: DataFrame, path: str, shards: int, seed: int = 17,
@@ -43,33 +52,24 @@ def external_shuffle(docs: DataFrame, path: str, shards: int, seed: int = 17,
         F.count(F.lit(1)).alias("n"), F.sum(text_bytes(text) + 1).alias("size"))
     rows, size, repeats = light.agg(F.sum("n"), F.sum("size"), F.max("n")).first()
     rows, buckets = rows or 0, max(1, -(-(size or 0) // bucket_bytes))
-    if (repeats or 0) > 1:
-        records = _with_copy_numbers(docs)
-        identity = F.xxhash64(F.lit(seed), F.col(key), whole(text), F.col("__copy"))
-    else:
-        records = docs.withColumn("__copy", F.lit(1).cast("long"))
-    bucket = F.pmod(F.col("__hash"), F.lit(buckets)).cast("int")
-    records = records.withColumn("__hash", identity).withColumn("__bucket", bucket)
+    records = _records(docs, key, text, seed, (repeats or 0) > 1)
+    records = records.withColumn("bucket", F.pmod(F.col("hash"), F.lit(buckets)).cast("int"))
 
-    first_of = Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = records.groupBy("__bucket").count().select(
-        "__bucket", F.coalesce(F.sum("count").over(first_of), F.lit(0)).alias("__start"))
+    first_of = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    starts = records.groupBy("bucket").count().select(
+        "bucket", F.coalesce(F.sum("count").over(first_of), F.lit(0)).alias("start"))
     if buckets <= MOST_BROADCAST:
         starts = F.broadcast(starts)
 
     # One bucket per partition: the partition's number seeds its shuffle, the sort fixes its input.
-    record = F.struct("__hash", F.col(key).alias("__key"), "__copy",
-                      F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"))
-    shuffled = (records.repartitionById(buckets, "__bucket")
-                .groupBy("__bucket").agg(F.collect_list(record).alias("__records"))
-                .withColumn("__records", F.shuffle(F.array_sort("__records"), F.lit(seed)))
-                .select("__bucket", F.posexplode("__records").alias("__at", "__record")))
-    at = F.col("__start") + F.col("__at")
-    placed = shuffled.join(starts, "__bucket").select(
-        "__record.__row.*", F.expr(f"cast((__start + __at) * {shards} div {max(1, rows)} as int)")
-        .alias("shard"), at.alias("__position"))
+    shuffled = (records.repartitionById(buckets, "bucket")
+                .groupBy("bucket").agg(F.collect_list(F.struct("hash", "key", "copy", "row")).alias("records"))
+                .withColumn("records", F.shuffle(F.array_sort("records"), F.lit(seed)))
+                .select("bucket", F.posexplode("records").alias("at", "record")))
+    placed = shuffled.join(starts, "bucket").select("record.row", (F.col("start") + F.col("at")).alias("position"))
+    shard = F.expr(f"cast(position * {shards} div {max(1, rows)} as int)")
     first = F.expr(f"(shard * {rows}L + {shards - 1}) div {shards}")
-    placed = placed.withColumn("slot", F.col("__position") - first).drop("__position")
+    placed = placed.withColumn("shard", shard).withColumn("slot", F.col("position") - first).select("row.*", "slot", "shard")
     placed.write.partitionBy("shard").parquet(path)
     schema = T.StructType([*docs.schema.fields, T.StructField("slot", T.LongType()),
                            T.StructField("shard", T.IntegerType())])
