@@ -227,6 +227,26 @@ def _distribution() -> str:
 
 _SEGMENT_COLUMNS = "contract, _load_date, type, activeness, clinginess"
 
+_SILVER_ROWS = """
+        SELECT stats.*, total_duration, type, taste, most_watch_rows, activeness, clinginess,
+               active_contracts
+        FROM stats JOIN tastes USING (contract, _load_date)
+        JOIN segments USING (contract, _load_date)
+        JOIN (SELECT contract, _load_date, total_duration FROM types) USING (contract, _load_date)
+        JOIN (SELECT contract, _load_date, count(*) AS most_watch_rows FROM watched GROUP BY ALL)
+            USING (contract, _load_date)
+        JOIN (SELECT _load_date, active_contracts FROM summary) USING (_load_date)"""
+
+
+def _catalog_counts() -> str:
+    models = {"gold_kpi_metrics": "kpis", "contract_most_watch": "watched", "contract_taste": "tastes",
+              "contract_type": "types", "contract_activeness": "carried", "contract_clinginess": "segments"}
+    return " UNION ALL ".join([
+        f"""SELECT {_text(model)} AS model, CAST({'date' if relation == 'kpis' else '_load_date'} AS DATE) AS date,
+            count(*) AS n FROM {relation} GROUP BY ALL""" for model, relation in models.items()] + [
+        "SELECT 'gold_search_trending' AS model, CAST(NULL AS DATE) AS date, count(*) AS n FROM gold_trending"])
+
+
 ORACLE = {
     "raw_content_scan": _on_content("SELECT * FROM sessions"),
     "raw_search_scan": _on_search("SELECT * FROM searches"),
@@ -245,17 +265,11 @@ ORACLE = {
         "SELECT _load_date, count(*) AS n, count(_id) AS with_id FROM sessions GROUP BY _load_date"),
     "write_bronze_roundtrip": _on_content(
         "SELECT * EXCLUDE (ok), CASE WHEN ok THEN 'valid' ELSE 'quarantine' END AS layer FROM tagged"),
-    "write_silver_roundtrip": _on_content("""
-        SELECT stats.*, total_duration, type, taste, most_watch_rows, activeness, clinginess,
-               active_contracts
-        FROM stats JOIN tastes USING (contract, _load_date)
-        JOIN segments USING (contract, _load_date)
-        JOIN (SELECT contract, _load_date, total_duration FROM types) USING (contract, _load_date)
-        JOIN (SELECT contract, _load_date, count(*) AS most_watch_rows FROM watched GROUP BY ALL)
-            USING (contract, _load_date)
-        JOIN (SELECT _load_date, active_contracts FROM summary) USING (_load_date)"""),
+    "write_silver_roundtrip": _on_content(_SILVER_ROWS),
+    "silver_failed_run": _on_content(_SILVER_ROWS),
     "write_search_roundtrip": _on_search("SELECT * FROM trending"),
     "gold_view": _on_content("SELECT date, active_contracts, unique_devices FROM kpis"),
+    "gold_catalog_views": f"WITH {_content()}, {_SEARCH} {_catalog_counts()}",
     "gold_incremental_roundtrip": _on_content(_gold_contract("tastes", "taste")),
     "dedup_by_id": _on_content("""
         SELECT * REPLACE (CASE WHEN total_duration % 2 = 0 THEN total_duration + 1

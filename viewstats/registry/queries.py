@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from viewstats.functions import keyword_category
 from viewstats.operators import content, dashboards, expectations, gold, quality, search
-from viewstats.plans import gold as gold_plan, landing, silver
+from viewstats.plans import catalog, gold as gold_plan, landing, silver
 from viewstats.registry import adapters
 from viewstats.registry.scratch import scratch_path
 from viewstats.schemas import BRONZE_CONTENT, LOAD_DATE
@@ -138,6 +138,23 @@ def write_silver_roundtrip(spark, sf):
     silver.run_content(spark, bronze_root, root)
     clear_days(spark, table_path(bronze_root, "content"), [LATE_DAY])
     silver.run_content(spark, bronze_root, root)
+    return _silver_rows(spark, root)
+
+
+def silver_failed_run(spark, sf):
+    """What the first of two silver runs stored, after the second, over one more day, failed with most of
+    its tables written; one row per contract and day."""
+    bronze_root, root = _stored_bronze(spark, sf), scratch_path(spark, "silver")
+    silver.run_content(spark, bronze_root, root)
+    _add_late_day(spark, sf, bronze_root)
+    try:
+        silver.run_content(spark, bronze_root, root, mode="no such mode")
+    except ValueError:
+        return _silver_rows(spark, root)
+    raise RuntimeError("the second run was to fail")
+
+
+def _silver_rows(spark, root):
     table = lambda name: read_table(spark, root, "content", name)
     watched = table("contract_most_watch").groupBy(*content.KEYS).agg(
         F.count("*").alias("most_watch_rows"))
@@ -160,6 +177,22 @@ def gold_view(spark, sf):
     return spark.sql("SELECT date, active_contracts, unique_devices FROM gold_kpi_metrics")
 
 
+def gold_catalog_views(spark, sf):
+    """Rows per model and day of the gold models, by another session through the views of the catalog."""
+    bronze_root, root, stored = _stored_bronze(spark, sf), scratch_path(spark, "silver"), scratch_path(spark, "gold")
+    silver.run_content(spark, bronze_root, root)
+    write_search_trending(_trending(spark, sf), root)
+    for data_type in ("content", "search"):
+        gold_plan.run(spark, root, stored, data_type)
+    database = f"gold_{stored.rsplit('-', 1)[1]}"
+    models = catalog.publish(spark, stored, database)
+    other = spark.newSession()
+    counts = " UNION ALL ".join(
+        f"SELECT '{name}' AS model, {'CAST(NULL AS DATE)' if name == 'gold_search_trending' else 'date'} AS date, "
+        f"count(*) AS n FROM {database}.{name} GROUP BY ALL" for name in models)
+    return other.sql(counts)
+
+
 def gold_incremental_roundtrip(spark, sf):
     """A full first build, then two builds of one day: still one copy of every row."""
     root = scratch_path(spark, "gold")
@@ -463,7 +496,8 @@ def dash_top_keywords(spark, sf):
 QUERIES = {f.__name__: f for f in [
     raw_content_scan, raw_search_scan, bronze_partition_read, bronze_all_read, bronze_all_read_search,
     land_raw_days, land_raw_search_days,
-    write_bronze_roundtrip, write_silver_roundtrip, write_search_roundtrip, gold_view,
+    write_bronze_roundtrip, write_silver_roundtrip, silver_failed_run, write_search_roundtrip, gold_view,
+    gold_catalog_views,
     gold_incremental_roundtrip, dedup_by_id, dq_valid_content, dq_quarantine_content,
     dq_report_content, dq_valid_search, dq_quarantine_search, dq_report_search, dq_rule_profile,
     dq_null_profile, content_enrich, duration_by_category, devices_per_contract,
