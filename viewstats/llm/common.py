@@ -31,6 +31,11 @@ def free_names(df: DataFrame, *wanted: str) -> list[str]:
     return [before + name for name in wanted]
 
 
+def numbered_columns(df: DataFrame) -> DataFrame:
+    """The same columns under plain names, for `mapInArrow`, which takes a dot for a field's."""
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from viewstats.llm.common import Memo, whole, word_count
+from viewstats.llm.common import Memo, numbered_columns, whole, word_count
 
 WINDOW = 13
 IDENTITY = 0.8
@@ -196,7 +196,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text",
                       item_key: str = "item_id", item_text: str = "text",
                       block_tokens: int = BLOCK_TOKENS) -> DataFrame:
     """The rows of `docs` that overlap no item, with all their columns; see `overlaps`."""
-    at = docs.columns.index(text)
+    at, names = docs.columns.index(text), docs.columns
     for items in blocks(benchmark, item_key, item_text, block_tokens):
         sent = docs.sparkSession.sparkContext.broadcast(items)
 
@@ -207,7 +207,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text",
                 for first, texts in _slices(batch.column(at)):
                     for row, *_ in block.find(texts):
                         clean[first + row] = False
-                yield batch.filter(pa.array(clean))
+                yield batch.filter(pa.array(clean)).rename_columns(names)
 
-        docs = docs.mapInArrow(keep, docs.schema)
+        docs = numbered_columns(docs).mapInArrow(keep, docs.schema)
     return docs

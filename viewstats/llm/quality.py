@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from viewstats.llm.common import cut, whole
+from viewstats.llm.common import cut, numbered_columns, whole
 
 WORDS = 1 << 14
 STEPS = 16
@@ -205,13 +205,14 @@ def score(docs: DataFrame, machine: Machine, text: str = "text", column: str = "
     it exists). A null text is empty; an empty text has a score like others."""
     sent = docs.sparkSession.sparkContext.broadcast((machine.bias, machine.weights, machine.factors))
     docs = docs.drop(column)
-    rows, at = _texts(docs, text, "*"), len(docs.columns)
+    rows, names = numbered_columns(_texts(docs, text, "*")), docs.columns
+    at = len(names)
 
     def run(batches):
         featurizer, machine = Featurizer(), Machine(*sent.value)
         for batch in batches:
             scores = [_scored(part, featurizer, machine) for part in _slices(batch.column(at))]
             values = pa.array(np.concatenate(scores) if scores else np.zeros(0), pa.float64())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:at], values], [*batch.schema.names[:at], column])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:at], values], [*names, column])
 
     return rows.mapInArrow(run, docs.withColumn(column, F.lit(None).cast("double")).schema)

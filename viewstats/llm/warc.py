@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from viewstats.llm.common import cut, whole
+from viewstats.llm.common import cut, quoted, whole
 from viewstats.llm.store import Store
 
 ARCHIVE_BYTES = 32 << 20  # before compression
@@ -62,7 +62,7 @@ def first_copies(pages: DataFrame, key: str, body: str, least_bytes: int, salts:
     joined = keyed.join(shared, (F.col("__payload") == F.col("__shared"))
                         & (F.col("__salt") == F.col("__spread")), "left")
     refers = F.when(~F.col(key).eqNullSafe(F.col("__first")), F.col("__first"))
-    return joined.withColumn("refers_to", refers).select(*pages.columns, "refers_to")
+    return joined.withColumn("refers_to", refers).select(*[quoted(c) for c in pages.columns], "refers_to")
 
 
 def sha1_digest(payload: bytes) -> str:
