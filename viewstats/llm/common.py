@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import gc
 import sys
 import time
@@ -12,6 +13,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from viewstats.sources.paths import delete_path
+
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ASCII_LOWER = "abcdefghijklmnopqrstuvwxyz"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -90,6 +93,46 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+FILE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextlib.contextmanager
+def shuffles_dropped(spark: SparkSession):
+    """DataFrames made inside lose their shuffle files as soon as an action on them ends. An action that
+    is repeated makes them again."""
+    before = spark.conf.get(FILE_CLEANUP, "false")
+    spark.conf.set(FILE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(FILE_CLEANUP, before)
+
+
+class Scratchpad:
+    """Tables of a job of many steps, in the shared folder. Each step's rows are written, so that later
+    steps neither recompute nor lose them; a table goes when nothing reads it any more."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.root, self.tables = spark, scratch(spark, name), []
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        path = f"{self.root}/{len(self.tables)}"
+        with shuffles_dropped(self.spark):
+            df.select("*").write.parquet(path)
+        kept = self.spark.read.schema(df.schema).parquet(path)
+        self.tables.append((kept, path))
+        return kept
+
+    def drop(self, *gone: DataFrame) -> None:
+        """Removes tables that `keep` returned."""
+        for kept, path in self.tables:
+            if any(kept is df for df in gone):
+                delete_path(self.spark, path)
+
+    def clear(self) -> None:
+        delete_path(self.spark, self.root)
+
+
 class Memo(dict):
     """Remembers what `make` gives for the latest keys, between `most` and twice as many of them, none
     longer than `longest`."""

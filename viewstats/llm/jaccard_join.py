@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from viewstats.llm.common import cut, free_names, release, whole
+from viewstats.llm.common import Scratchpad, free_names, shuffles_dropped, whole
 from viewstats.llm.components import components
 
 LIGHT_MOST = 40  # sizes considered for the light side
@@ -153,7 +153,7 @@ def _candidates(some: DataFrame, first: DataFrame) -> DataFrame:
     shared = _shared(standing.select("id", F.explode("sample").alias("hash")))
     enough = shared.groupBy("id").agg(F.count(F.lit(1)).alias("others"))
     wanted = standing.select("id", "key", "digest", "needed").join(enough, "id")
-    return cut(wanted.where("others >= needed").select("id", "key", "digest"))
+    return wanted.where("others >= needed").select("id", "key", "digest")
 
 
 def _rare_lists(sets: DataFrame, percent: int) -> DataFrame:
@@ -171,7 +171,7 @@ def _rare_lists(sets: DataFrame, percent: int) -> DataFrame:
              .select(F.col("one.hash").alias("hash"), "id", "size", (F.col("alone") + F.col("at")).alias("place")))
     members = lists.groupBy("hash").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
     turn = (F.xxhash64(F.lit(5), "id") / F.lit(2.0 ** 64) + 0.5) * F.col("members")
-    return cut(lists.join(members, "hash").withColumn("turn", turn))
+    return lists.join(members, "hash").withColumn("turn", turn)
 
 
 def subsets(hashes: np.ndarray, percent: int) -> list[tuple[int, int, int]]:
@@ -232,20 +232,19 @@ def _close(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         (100 + percent) * apart <= (100 - percent) * both).select("a", "b")
 
 
-def _heavy_links(lists: DataFrame, sets: DataFrame, percent: int, links: DataFrame, longest: int) -> DataFrame:
-    """All links found, `links` included, scanning `lists` in rounds.
+def _heavy_links(lists: DataFrame, sets: DataFrame, percent: int, links: DataFrame, longest: int,
+                 pad: Scratchpad) -> DataFrame:
+    """All links found, `links` (a table of `pad`) included, scanning `lists` in rounds.
 
     A member's turn to be compared with the rest of its lists comes by a hash of its id, so about
     FIRST_HUBS members have theirs in the first round, MORE_HUBS times as many in the next, and so on.
     """
     done, until = 0.0, float(FIRST_HUBS)
     while done < longest:
-        labelled = lists
+        labelled, rounds = lists.withColumn("label", F.col("id")), Scratchpad(lists.sparkSession, "labels")
         if done:
-            labels = components(links).select(F.col("node").alias("id"), "label")
-            labelled = lists.join(labels, "id", "left")
-        labelled = labelled.withColumn("label", F.coalesce("label", "id")) if done else lists.withColumn(
-            "label", F.col("id"))
+            labels = components(links, rounds).select(F.col("node").alias("id"), "label")
+            labelled = lists.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
         hubs = labelled.where((F.col("turn") >= done) & (F.col("turn") < until)).select(
             "hash", *[F.col(c).alias(f"hub_{c}") for c in ("id", "size", "place", "turn", "label")])
         small, large = F.least("size", "hub_size"), F.greatest("size", "hub_size")
@@ -256,13 +255,15 @@ def _heavy_links(lists: DataFrame, sets: DataFrame, percent: int, links: DataFra
             & (F.struct("turn", "id") > F.struct("hub_turn", "hub_id"))
             & ((100 + percent) * bound >= percent * (F.col("size") + F.col("hub_size"))))
             .select(F.col("hub_id").alias("a"), F.col("id").alias("b")).distinct())
-        pairs = cut(_close(pairs, sets, percent))
+        pairs = pad.keep(_close(pairs, sets, percent))
+        rounds.clear()
         left = sets.select(F.col("id").alias("a"), F.col("hashes").alias("left"))
         right = sets.select(F.col("id").alias("b"), F.col("hashes").alias("right"))
         common = F.size(F.array_intersect("left", "right"))
         found = (pairs.join(right, "b").join(left, "a").where(
             (100 + percent) * common >= percent * (F.size("left") + F.size("right"))).select("a", "b"))
-        links = cut(links.unionByName(found))
+        last, links = links, pad.keep(links.unionByName(found))
+        pad.drop(last, pairs)
         done, until = until, until * MORE_HUBS
     return links
 
@@ -278,35 +279,37 @@ def link_sets(docs: DataFrame, words: int = 5, percent: int = 80, key: str = "do
     the component has no other key; rows that repeat a key are told apart by their texts. Other columns
     are not read. An empty table gives an empty table.
     """
-    spark, texts = docs.sparkSession, _texts(docs, key, text)
-    signed = cut(_signed(texts, words, percent).withColumn("row", F.monotonically_increasing_id()))
-    some = signed.where("size > 0")
+    spark, texts, pad = docs.sparkSession, _texts(docs, key, text), Scratchpad(docs.sparkSession, "jaccard")
+    signed = pad.keep(_signed(texts, words, percent).withColumn("row", F.monotonically_increasing_id()))
+    sized = pad.keep(signed.drop("sample", "needed"))
+    some = sized.where("size > 0")
     # One row stands for all rows with its set.
-    first = cut(some.groupBy("digest").agg(F.min("row").alias("id"), F.min("key").alias("key")))
-    wanted = _candidates(some, first)
-    signed = cut(signed.drop("sample", "needed"))
-    some = signed.where("size > 0")
-    release(spark)
-    sets = cut(_whole_sets(texts, wanted, words, signed.groupBy("key").count().where("count > 1").isEmpty()))
-    release(spark)
-    lists = _rare_lists(sets, percent)
-    release(spark)
-
-    costs = lists.where(F.col("size") <= LIGHT_MOST).groupBy("size").agg(
-        F.countDistinct("id"), F.sum("members")).collect()  # LIGHT_MOST rows at most
+    first = pad.keep(some.groupBy("digest").agg(F.min("row").alias("id"), F.min("key").alias("key")))
+    wanted = pad.keep(_candidates(signed.where("size > 0"), first))
+    pad.drop(signed)
+    with shuffles_dropped(spark):
+        once = sized.groupBy("key").count().where("count > 1").isEmpty()
+    sets = pad.keep(_whole_sets(texts, wanted, words, once))
+    pad.drop(wanted)
+    lists = pad.keep(_rare_lists(sets, percent))
+
+    with shuffles_dropped(spark):
+        costs = lists.where(F.col("size") <= LIGHT_MOST).groupBy("size").agg(
+            F.countDistinct("id"), F.sum("members")).collect()  # LIGHT_MOST rows at most
     boundary = light_boundary([tuple(row) for row in costs], percent)
     light = sets.where(F.col("size") <= boundary).drop("sketch").join(lists.select("id").distinct(), "id")
-    links = cut(_light_links(light, percent))
+    links = pad.keep(_light_links(light, percent))
     heavy = lists.where(F.col("size") >= least_common(boundary + 1, percent))
     longest = heavy.agg(F.max("members")).first()[0] or 0
-    links = _heavy_links(heavy, sets, percent, links, longest)
+    links = _heavy_links(heavy, sets, percent, links, longest, pad)
+    pad.drop(sets, lists)
 
     labels = components(links).select(F.col("node").alias("id"), "label")
     named = first.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
     least = named.groupBy("label").agg(F.min("key").alias("component"))
     named = named.join(least, "label").select("digest", "component")
     linked = some.select("key", "size", "digest").join(named, "digest").drop("digest")
-    return linked.unionByName(signed.where("size = 0").select("key", "size", F.col("key").alias("component")))
+    return linked.unionByName(sized.where("size = 0").select("key", "size", F.col("key").alias("component")))
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
