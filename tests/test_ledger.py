@@ -1,0 +1,113 @@
+"""Landing only what is new: files are told by path, size and time."""
+
+import os
+
+import pytest
+
+from test_plans import drop_content, line, rows_of
+from viewstats.plans import chain, landing
+from viewstats.sources import ledger
+from viewstats.sources.paths import delete_path, table_path
+from viewstats.sources.raw import read_raw
+
+DAYS = ["2022-04-01", "2022-04-02", "2022-04-04"]
+
+
+@pytest.fixture
+def roots(tmp_path):
+    return {k: str(tmp_path / k) for k in ("drop", "raw", "bronze", "silver", "gold")}
+
+
+def land(spark, roots, **kwargs):
+    return landing.land_new(spark, roots["drop"], roots["raw"], **kwargs)
+
+
+def test_second_landing_reads_nothing(spark, roots, monkeypatch):
+    drop_content(roots["drop"], DAYS)
+    assert land(spark, roots) == DAYS
+    before = rows_of(read_raw(spark, roots["raw"]))
+    monkeypatch.setattr(landing, "read_drop", None)  # would fail if it were called
+    assert land(spark, roots) is None
+    assert rows_of(read_raw(spark, roots["raw"])) == before
+
+
+def test_same_rows_as_landing_all(spark, roots, tmp_path):
+    drop_content(roots["drop"], DAYS, bad=2)
+    land(spark, roots, end="2022-04-02")
+    assert land(spark, roots) == DAYS[2:]
+    landing.land(spark, roots["drop"], str(tmp_path / "other"))
+    assert rows_of(read_raw(spark, roots["raw"])) == rows_of(read_raw(spark, str(tmp_path / "other")))
+
+
+def test_changed_and_new_files(spark, roots):
+    drop_content(roots["drop"], DAYS, rows=3)
+    land(spark, roots)
+    drop_content(roots["drop"], DAYS[1:2], rows=5)
+    os.makedirs(f"{roots['drop']}/20220404")
+    with open(f"{roots['drop']}/20220404/more [1]{{x}}*.json", "w") as f:  # signs that patterns use
+        f.write(line("late") + "\n")
+    assert land(spark, roots) == DAYS[1:]
+    counts = dict(read_raw(spark, roots["raw"]).groupBy("_load_date").count().collect())
+    assert counts == {"2022-04-01": 3, "2022-04-02": 5, "2022-04-04": 4}
+    assert land(spark, roots) is None
+
+
+def test_file_that_goes_back_is_landed_again(spark, roots):
+    drop_content(roots["drop"], DAYS[:1], rows=3)
+    path = f"{roots['drop']}/20220401.json"
+    first, seen = open(path).read(), os.stat(path)
+    land(spark, roots)
+    drop_content(roots["drop"], DAYS[:1], rows=6)
+    assert land(spark, roots) == DAYS[:1]
+    with open(path, "w") as f:
+        f.write(first)
+    os.utime(path, ns=(seen.st_atime_ns, seen.st_mtime_ns))
+    assert land(spark, roots) == DAYS[:1]
+    assert read_raw(spark, roots["raw"]).count() == 3
+
+
+def test_cleared_drops_and_lost_days(spark, roots):
+    drop_content(roots["drop"], DAYS, rows=3)
+    land(spark, roots)
+    os.remove(f"{roots['drop']}/20220401.json")
+    assert land(spark, roots) is None
+    assert read_raw(spark, roots["raw"]).count() == 9  # a cleared file stays landed
+    delete_path(spark, table_path(roots["raw"], "content", day="2022-04-02"))
+    assert land(spark, roots) == ["2022-04-02"]
+
+
+def test_run_that_dies_before_the_ledger(spark, roots, monkeypatch):
+    drop_content(roots["drop"], DAYS, rows=3)
+    with monkeypatch.context() as broken:
+        def die(*_):
+            raise RuntimeError("lost")
+        broken.setattr(ledger, "record", die)
+        with pytest.raises(RuntimeError):
+            land(spark, roots)
+    assert land(spark, roots) == DAYS
+    assert read_raw(spark, roots["raw"]).count() == 9
+
+
+def test_search_files_and_forgetting(spark, roots):
+    rows = spark.createDataFrame([("u", "k")], "user_id string, keyword string")
+    for day in ("20220601", "20220602"):
+        rows.write.parquet(f"{roots['drop']}/{day}")
+    assert land(spark, roots, data_type="search") == ["2022-06-01", "2022-06-02"]
+    assert land(spark, roots, data_type="search") is None
+    ledger.forget(spark, roots["raw"], "search")
+    assert land(spark, roots, data_type="search", start="2022-06-02") == ["2022-06-02"]
+
+
+def test_nothing_dropped(spark, roots):
+    assert land(spark, roots) is None
+    os.makedirs(roots["drop"])
+    assert land(spark, roots) is None
+
+
+def test_chain_lands_new_days(spark, roots):
+    layers = chain.Roots(roots["raw"], roots["bronze"], roots["silver"], roots["gold"], roots["drop"])
+    drop_content(roots["drop"], DAYS[:2])
+    chain.run(spark, layers, mode="full", new_only=True)
+    os.remove(f"{roots['drop']}/20220401.json")
+    drop_content(roots["drop"], DAYS[2:])
+    assert chain.run(spark, layers, mode="full", new_only=True).count() == 3

@@ -15,6 +15,8 @@ def main(argv=None):
     parser.add_argument("--start")
     parser.add_argument("--end")
     parser.add_argument("--drop", help="folder with new day files to land first")
+    parser.add_argument("--new-only", action="store_true",
+                        help="land only days with dropped files that are new or changed")
     for layer in ("raw", "bronze", "silver", "gold"):
         parser.add_argument(f"--{layer}", required=True)
     parser.add_argument("--on-exceeded", default="raise", choices=["raise", "hold"])
@@ -29,7 +31,7 @@ def main(argv=None):
     spark = SparkSession.builder.appName(f"viewstats-{args.data_type}").getOrCreate()
     roots = Roots(args.raw, args.bronze, args.silver, args.gold, args.drop, args.ledger)
     options = {"on_exceeded": args.on_exceeded, "activeness": args.activeness, "months": tuple(args.months),
-               "labels": tuple(args.labels), "database": args.database}
+               "labels": tuple(args.labels), "database": args.database, "new_only": args.new_only}
     if args.retry:
         view = retry(spark, roots, args.data_type, **options)
     else:

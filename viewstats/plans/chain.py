@@ -32,14 +32,14 @@ class Roots:
 def run(spark: SparkSession, roots: Roots, data_type: str = "content", mode: str = "incremental",
         start=None, end=None, today=None, on_exceeded: str = "raise", activeness: str = "as_of",
         months: tuple[str, str] = MONTHS, labels: tuple[str, str] = MONTH_LABELS,
-        on_failure: str = "raise", database: str | None = None) -> DataFrame | None:
+        on_failure: str = "raise", database: str | None = None, new_only: bool = False) -> DataFrame | None:
     """Land, check, aggregate and publish a range of days; None when no layer has data for it.
 
     With ``on_exceeded="hold"`` the days over their limit stay out, all others go through every layer,
     and the error for the held days is raised at the end. With ``on_failure="hold"`` so do days that fail
     for any other reason of their data, in whichever layer: they keep what an earlier run stored for them
     and are written to the ledger, from which ``retry`` takes them. With a ``database`` the stored gold
-    models are published there as views.
+    models are published there as views. ``new_only`` lands only days with new or changed dropped files.
     """
     if on_failure not in ("raise", "hold"):
         raise ValueError(f"Unknown on_failure: {on_failure}")
@@ -60,8 +60,9 @@ def run(spark: SparkSession, roots: Roots, data_type: str = "content", mode: str
 
     content = data_type == "content"
     if roots.drop is not None:
+        land = landing.land_new if new_only else landing.land
         layer("landing", lambda: dropped_days(spark, roots.drop),
-              lambda s, e: landing.land(spark, roots.drop, roots.raw, data_type, s, e))
+              lambda s, e: land(spark, roots.drop, roots.raw, data_type, s, e))
     reports = layer("bronze", lambda: stored_days(spark, table_path(roots.raw, data_type)),
                     lambda s, e: bronze.run(spark, roots.raw, roots.bronze, data_type, s, e, on_exceeded))
     # Search covers its two months whatever the range, so there it is the whole table that fails or not.

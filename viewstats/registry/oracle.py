@@ -225,6 +225,11 @@ def _distribution() -> str:
         for c in SUMMARY_CATEGORIES)
 
 
+_INTERVALS = """
+        SELECT contract, activeness, _load_date AS valid_from,
+               CAST(CAST(lead(_load_date) OVER (PARTITION BY contract ORDER BY _load_date) AS DATE) - 1
+                    AS VARCHAR) AS valid_to
+        FROM active"""
 _SEGMENT_COLUMNS = "contract, _load_date, type, activeness, clinginess"
 
 _SILVER_ROWS = """
@@ -263,6 +268,8 @@ ORACLE = {
         FROM searches GROUP BY _load_date"""),
     "land_raw_days": _on_content(
         "SELECT _load_date, count(*) AS n, count(_id) AS with_id FROM sessions GROUP BY _load_date"),
+    "land_new_days": _on_content(
+        "SELECT _load_date, count(*) AS n, count(_id) AS with_id FROM sessions GROUP BY _load_date"),
     "write_bronze_roundtrip": _on_content(
         "SELECT * EXCLUDE (ok), CASE WHEN ok THEN 'valid' ELSE 'quarantine' END AS layer FROM tagged"),
     "write_silver_roundtrip": _on_content(_SILVER_ROWS),
@@ -309,6 +316,9 @@ ORACLE = {
         SELECT contract, activeness - 1 AS activeness, _load_date
         FROM active WHERE activeness > 1"""),
     "activeness_carried": _on_content("SELECT * FROM carried"),
+    "activeness_intervals": _on_content(_INTERVALS),
+    "activeness_intervals_stored": _on_content(_INTERVALS),
+    "activeness_expanded": _on_content("SELECT * FROM carried"),
     "clinginess": _on_content(f"SELECT {_SEGMENT_COLUMNS} FROM segments"),
     "clinginess_as_of": _on_content(f"SELECT {_SEGMENT_COLUMNS} FROM segments"),
     "clinginess_snapshot": _on_content(f"""

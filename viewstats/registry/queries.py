@@ -3,8 +3,8 @@
 from pyspark.sql import functions as F
 
 from viewstats.functions import keyword_category
-from viewstats.operators import content, dashboards, expectations, gold, quality, search
-from viewstats.plans import catalog, gold as gold_plan, landing, silver
+from viewstats.operators import content, dashboards, expectations, gold, intervals, quality, search
+from viewstats.plans import catalog, gold as gold_plan, intervals as interval_plan, landing, silver
 from viewstats.registry import adapters
 from viewstats.registry.scratch import scratch_path
 from viewstats.schemas import BRONZE_CONTENT, LOAD_DATE
@@ -116,6 +116,18 @@ def land_raw_days(spark, sf):
         F.count("*").alias("n"), F.count("_id").alias("with_id"))
 
 
+def land_new_days(spark, sf):
+    """Land a drop that lacks the days from one day on, then the whole drop: only those days are read."""
+    drop, root = scratch_path(spark, "drop"), scratch_path(spark, "raw")
+    lines = adapters.content_lines(spark, sf).withColumn("day", F.regexp_replace(LOAD_DATE, "-", ""))
+    late = F.col(LOAD_DATE) >= SPLIT_DAY
+    for part in (lines.where(~late), lines.where(late)):
+        write_days(part.drop(LOAD_DATE), drop, "day", file_format="text")
+        landing.land_new(spark, drop, root, "content")
+    return read_content(spark, root).groupBy(LOAD_DATE).agg(
+        F.count("*").alias("n"), F.count("_id").alias("with_id"))
+
+
 # --- sinks ----------------------------------------------------------------------------------
 
 def write_bronze_roundtrip(spark, sf):
@@ -304,6 +316,30 @@ def activeness_carried(spark, sf):
         _stats(spark, sf), days=adapters.bronze_content(spark, sf))
 
 
+def _plain_intervals(rows):
+    return rows.select("contract", "activeness", F.col("valid_from").cast("string").alias("valid_from"),
+                       F.col("valid_to").cast("string").alias("valid_to"))
+
+
+def activeness_intervals(spark, sf):
+    return _plain_intervals(intervals.activeness_intervals(_stats(spark, sf)))
+
+
+def activeness_intervals_stored(spark, sf):
+    """Intervals of all days, then made again from one day on out of what was stored."""
+    root = scratch_path(spark, "silver")
+    write_days(_stats(spark, sf), table_path(root, "content", "contract_stats"))
+    interval_plan.run(spark, root)
+    interval_plan.run(spark, root, SPLIT_DAY)
+    return _plain_intervals(interval_plan.read_intervals(spark, root))
+
+
+def activeness_expanded(spark, sf):
+    """The rows of ``activeness_carried`` out of intervals."""
+    return intervals.expanded(intervals.activeness_intervals(_stats(spark, sf)),
+                              adapters.bronze_content(spark, sf))
+
+
 def clinginess(spark, sf):
     stats = _stats(spark, sf)
     return content.clinginess(content.contract_type(stats), content.activeness(stats, "as_of"))
@@ -495,7 +531,7 @@ def dash_top_keywords(spark, sf):
 
 QUERIES = {f.__name__: f for f in [
     raw_content_scan, raw_search_scan, bronze_partition_read, bronze_all_read, bronze_all_read_search,
-    land_raw_days, land_raw_search_days,
+    land_raw_days, land_raw_search_days, land_new_days,
     write_bronze_roundtrip, write_silver_roundtrip, silver_failed_run, write_search_roundtrip, gold_view,
     gold_catalog_views,
     gold_incremental_roundtrip, dedup_by_id, dq_valid_content, dq_quarantine_content,
@@ -503,7 +539,8 @@ QUERIES = {f.__name__: f for f in [
     dq_null_profile, content_enrich, duration_by_category, devices_per_contract,
     platform_devices, contract_stats, unpivot_categories, daily_summary, most_watch, taste,
     type_quantiles, contract_type, activeness_snapshot, activeness_as_of, activeness_prior,
-    activeness_carried, clinginess, clinginess_as_of, clinginess_snapshot, search_month_filter,
+    activeness_carried, activeness_intervals, activeness_intervals_stored, activeness_expanded,
+    clinginess, clinginess_as_of, clinginess_snapshot, search_month_filter,
     search_keyword_counts, top_keyword_june, top_keyword_july, category_map, search_trending,
     gold_kpi_metrics, gold_contract_activeness, gold_contract_clinginess,
     gold_contract_most_watch, gold_contract_taste, gold_contract_type, gold_contract_taste_day,

@@ -54,13 +54,14 @@ def read_raw(spark: SparkSession, root: str, data_type: str = "content",
     return _READERS[data_type](spark, root, start, end)
 
 
-def _day_from_path() -> F.Column:
-    digits = F.regexp_extract(F.col("_metadata.file_path"), _DAY_IN_PATH, 1)
-    return F.try_to_date(digits, "yyyyMMdd")
+def day_from_path(path: F.Column | None = None) -> F.Column:
+    """The day a file is named after, NULL for none; by default that of the file a row was read from."""
+    path = F.col("_metadata.file_path") if path is None else path
+    return F.try_to_date(F.regexp_extract(path, _DAY_IN_PATH, 1), "yyyyMMdd")
 
 
 def _landed(df: DataFrame, start, end) -> DataFrame:
-    dated = df.withColumn(LOAD_DATE, _day_from_path())
+    dated = df.withColumn(LOAD_DATE, day_from_path())
     return (dated.where(F.col(LOAD_DATE).isNotNull() & load_date_range(F.col(LOAD_DATE), start, end))
                  .withColumn(LOAD_DATE, F.col(LOAD_DATE).cast("string")))
 
@@ -68,7 +69,7 @@ def _landed(df: DataFrame, start, end) -> DataFrame:
 def dropped_days(spark: SparkSession, drop: str) -> list[str]:
     """The days that dropped files are named after, from one listing."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    days = or_missing(lambda: files.load(drop).select(_day_from_path().cast("string").alias("day")).distinct())
+    days = or_missing(lambda: files.load(drop).select(day_from_path().cast("string").alias("day")).distinct())
     return [] if days is None else sorted(r[0] for r in days.where("day IS NOT NULL").collect())
 
 
@@ -76,27 +77,26 @@ def undated_files(spark: SparkSession, drop: str) -> DataFrame:
     """Paths of dropped files that name no valid day and are therefore never landed."""
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(drop)
              .select(F.col("path").alias("_path")))
-    day = F.try_to_date(F.regexp_extract("_path", _DAY_IN_PATH, 1), "yyyyMMdd")
-    return files.where(day.isNull()).select(F.col("_path").alias("path"))
+    return files.where(day_from_path(F.col("_path")).isNull()).select(F.col("_path").alias("path"))
 
 
-def read_drop_content(spark: SparkSession, drop: str, start=None, end=None) -> DataFrame:
-    """Lines of all dropped day files, dated by file name. Undated files are left
+def read_drop_content(spark: SparkSession, drop: str | list[str], start=None, end=None) -> DataFrame:
+    """Lines of all dropped day files (of a folder, or of a list of files), dated by file name. Undated files are left
     alone; ``undated_files`` lists them."""
     return _landed(spark.read.option("recursiveFileLookup", "true").text(drop), start, end)
 
 
-def read_drop_search(spark: SparkSession, drop: str, start=None, end=None) -> DataFrame:
+def read_drop_search(spark: SparkSession, drop: str | list[str], start=None, end=None) -> DataFrame:
     """Rows of all Parquet files in dropped day folders, dated by folder name."""
     reader = (spark.read.option("recursiveFileLookup", "true")
               .option("pathGlobFilter", "*.parquet").option("mergeSchema", "true"))
-    return _landed(reader.parquet(drop), start, end)
+    return _landed(reader.format("parquet").load(drop), start, end)
 
 
 _DROP_READERS = {"content": read_drop_content, "search": read_drop_search}
 
 
-def read_drop(spark: SparkSession, drop: str, data_type: str = "content",
+def read_drop(spark: SparkSession, drop: str | list[str], data_type: str = "content",
               start=None, end=None) -> DataFrame:
     if data_type not in _DROP_READERS:
         raise ValueError(f"Unknown data_type: {data_type}")
