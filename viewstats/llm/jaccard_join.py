@@ -114,16 +114,20 @@ def _signed(docs: DataFrame, words: int, percent: int) -> DataFrame:
 
 
 def _shared(rows: DataFrame) -> DataFrame:
-    """The (id, hash) rows whose hash other sets have too, with the number of sets."""
-    counts = rows.groupBy("hash").agg(F.count(F.lit(1)).alias("sets")).where("sets > 1")
-    return rows.join(counts, "hash")
+    """The (id, hash) rows whose hash other sets have too, with the number of sets. Counting and joining
+    read one shuffle: the count names every column, so that both sides are the same exchange."""
+    moved = rows.repartition("hash")
+    named = F.count(F.coalesce(*[c for c in rows.columns if c != "hash"]))
+    counts = moved.groupBy("hash").agg(named.alias("sets")).where("sets > 1")
+    return moved.join(counts.hint("merge"), "hash")
 
 
 def _whole_sets(docs: DataFrame, wanted: DataFrame, words: int, once: bool) -> DataFrame:
     """id, size, hashes and sketch of the sets of `wanted` (id, key, digest), made again from their texts. `once`:
     no key is on two rows of `docs`."""
     asked = wanted.select("id", F.col("key").alias("wanted"), F.col("digest").alias("asked"))
-    found = docs.join(asked, F.col("key").eqNullSafe(F.col("wanted"))).select("id", "text", "asked")
+    # What is asked for grows with the texts, so it is shuffled with them at every size.
+    found = docs.join(asked.hint("merge"), F.col("key").eqNullSafe(F.col("wanted"))).select("id", "text", "asked")
 
     def run(batches):
         shingler, held, count = Shingler(words), [], 0
@@ -149,7 +153,7 @@ def _whole_sets(docs: DataFrame, wanted: DataFrame, words: int, once: bool) -> D
 
 def _candidates(some: DataFrame, first: DataFrame) -> DataFrame:
     """id, key, digest of the sets of which enough of the smallest hashes occur in other sets."""
-    standing = some.join(first.select(F.col("id").alias("row")), "row").withColumnRenamed("row", "id")
+    standing = some.join(first.select(F.col("id").alias("row")).hint("merge"), "row").withColumnRenamed("row", "id")
     shared = _shared(standing.select("id", F.explode("sample").alias("hash")))
     enough = shared.groupBy("id").agg(F.count(F.lit(1)).alias("others"))
     wanted = standing.select("id", "key", "digest", "needed").join(enough, "id")
@@ -228,7 +232,7 @@ def _close(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     apart = F.aggregate(F.zip_with("left", "right", lambda x, y: F.abs(x.cast("long") - y)), F.lit(0).cast("long"),
                         lambda total, x: total + x)
     both = F.col("size_a") + F.col("size_b")  # less twice the common part is how many they differ in
-    return pairs.join(left, "a").join(right, "b").where(
+    return pairs.hint("merge").join(left, "a").hint("merge").join(right, "b").where(
         (100 + percent) * apart <= (100 - percent) * both).select("a", "b")
 
 
@@ -260,7 +264,7 @@ def _heavy_links(lists: DataFrame, sets: DataFrame, percent: int, links: DataFra
         left = sets.select(F.col("id").alias("a"), F.col("hashes").alias("left"))
         right = sets.select(F.col("id").alias("b"), F.col("hashes").alias("right"))
         common = F.size(F.array_intersect("left", "right"))
-        found = (pairs.join(right, "b").join(left, "a").where(
+        found = (pairs.hint("merge").join(right, "b").hint("merge").join(left, "a").where(
             (100 + percent) * common >= percent * (F.size("left") + F.size("right"))).select("a", "b"))
         last, links = links, pad.keep(links.unionByName(found))
         pad.drop(last, pairs)
