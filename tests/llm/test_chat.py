@@ -74,10 +74,11 @@ def conversations():
     return rows
 
 
-def test_round_trip(spark):
+@pytest.mark.parametrize("formatter", [chat.format_conversations, chat.format_turns])
+def test_round_trip(spark, formatter):
     rows = conversations()
     df = spark.createDataFrame(rows, SCHEMA).repartition(5).select("*", F.lit(1).alias("loss"), F.lit(2).alias("formatted"))
-    got = {r["conv_id"]: r for r in chat.read_back(chat.format_conversations(df)).collect()}
+    got = {r["conv_id"]: r for r in chat.read_back(formatter(df)).collect()}
     by_conv = {}
     for conv, turn, role, text in sorted(rows, key=lambda r: tuple((x is not None, x if x is not None else 0) if not
                                          isinstance(x, str) else (True, x) for x in (r[0], r[1], r[2] or "", r[3] or ""))):
@@ -91,9 +92,40 @@ def test_round_trip(spark):
         assert r["loss_sha256"] == hashlib.sha256(loss.encode()).hexdigest()
 
 
-def test_no_conversations(spark):
+def test_turns_make_up_the_conversation(spark):
+    df = spark.createDataFrame(conversations(), SCHEMA).repartition(3)
+    whole = {r["conv_id"]: (r["formatted"], r["loss"]) for r in chat.format_conversations(df).collect()}
+    pieces = {}
+    for r in sorted(chat.format_turns(df).collect(), key=lambda r: r["place"]):
+        text, loss = pieces.get(r["conv_id"], ("", []))
+        spans = [(s["start"] + len(text), s["end"] + len(text)) for s in r["loss"]]
+        pieces[r["conv_id"]] = text + r["formatted"], loss + spans
+    assert pieces == {conv: (text, [tuple(s) for s in loss]) for conv, (text, loss) in whole.items()}
+
+
+def test_pieces_in_another_order_are_refused(spark):
+    df = spark.createDataFrame([(1, 0, "user", "a"), (1, 1, "assistant", "b")], SCHEMA)
+    turned = chat.format_turns(df).coalesce(1).sortWithinPartitions(F.desc("place"))
+    with pytest.raises(Exception, match="piece 1 of conversation 1"):
+        chat.read_back(turned).collect()
+
+
+def test_a_conversation_is_streamed():
+    """Batches leave a task before all turns of their conversation have been read."""
+    read = []
+
+    def turns():
+        for place in range(10 * chat.ROWS_HELD):
+            read.append(place)
+            yield 7, place, "text", []
+
+    assert next(chat._batched(turns(), chat.PIECES, 2)).num_rows == chat.ROWS_HELD == len(read)
+
+
+@pytest.mark.parametrize("formatter", [chat.format_conversations, chat.format_turns])
+def test_no_conversations(spark, formatter):
     none = spark.createDataFrame([], SCHEMA)
-    assert chat.read_back(chat.format_conversations(none)).count() == 0
+    assert chat.read_back(formatter(none)).count() == 0
 
 
 def test_what_is_not_a_format_is_refused():

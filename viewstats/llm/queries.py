@@ -99,7 +99,7 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     extra = spark.createDataFrame([(-1, 0, "user", ATTACK), (-1, 1, "assistant", ATTACK)],
                                   "conv_id long, turn long, role string, text string")
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    return chat.read_back(chat.format_conversations(turns.unionByName(extra)))
+    return chat.read_back(chat.format_turns(turns.unionByName(extra)))
 
 
 def op11_pivot_index(spark: SparkSession, sf_dir: str) -> DataFrame:
