@@ -7,6 +7,7 @@ from itertools import product
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from llm_cases import clashing, documents, odd_rows, prose
@@ -47,6 +48,47 @@ def test_pairs_by_sums_of_squares():
     assert raw[0] == pytest.approx(0.3 + machine.weights[columns] @ x + pairs)
 
 
+def plain_features(text):
+    """Columns and values of a text, counted one byte, word and line at a time."""
+    data = (text or "").encode()
+    words, size = data.split(), max(1, len(data))
+    numbers = [xxhash.xxh3_64_intdigest(w.lower().strip(quality.SIGNS)) % quality.WORDS for w in words]
+    counts, n = Counter(numbers), max(1, len(words))
+    lines = [line for line in data.split(b"\n") if line.strip()]
+    signs = [b for b in data if 32 < b < 127 and not chr(b).isalnum()]
+    spaces = sum(b in quality.SPACES for b in data)
+    followed = [*zip(numbers, numbers[1:])]
+    shares = [
+        math.log2(size) / 24, math.log2(n) / 20, (size - spaces) / n / 20, sum(65 <= b <= 90 for b in data) / size,
+        sum(48 <= b <= 57 for b in data) / size, len(signs) / size,
+        sum(b not in quality.COMMON_SIGNS for b in signs) / size, sum(b > 127 for b in data) / size, spaces / size,
+        len(counts) / n, max(counts.values(), default=0) / n, len(lines) / n, len(set(lines)) / max(1, len(lines)),
+        sum(line.rstrip().endswith((b".", b"!", b"?")) for line in lines) / max(1, len(lines)),
+        sum(w[-1] in b"!*$%&#|" for w in words) / n, 1 - len(set(followed)) / len(followed) if followed else 0.0]
+    length = math.sqrt(sum(math.log(1 + c) ** 2 for c in counts.values()))
+    x = {number: math.log(1 + c) / length for number, c in counts.items()}
+    for i, share in enumerate(shares):
+        x[quality.WORDS + i * quality.STEPS + min(quality.STEPS - 1, int(math.sqrt(min(1, share)) * quality.STEPS))] = 0.5
+    return x
+
+
+def test_scores_are_sums_over_all_pairs(spark, labelled):
+    """The scores of whole texts, from plain counts and a sum over every pair of features."""
+    docs, labels = labelled
+    machine = quality.train(docs, labels, most=200)
+    assert np.abs(machine.weights).max() > 0.01
+    rng = random.Random(9)
+    texts = [None, "", " ", "x", "One. Two!\nOne. Two!\n", "\u00e9t\u00e9 $$$ A1|B2 # 77", "word " * 3000]
+    texts += [prose(rng, 40) for _ in range(6)] + [junk(rng, 40) for _ in range(6)]
+    got = quality.score(documents(spark, [*enumerate(texts)]), machine).select("text", "score").collect()
+    assert len(got) == len(texts)
+    for text, found in got:
+        x = plain_features(text)
+        raw = machine.bias + sum(machine.weights[a] * x[a] for a in x) + sum(
+            float(machine.factors[a] @ machine.factors[b]) * x[a] * x[b] for a in x for b in x if a < b)
+        assert found == pytest.approx(1 / (1 + math.exp(-raw)), rel=1e-6)
+
+
 def test_quality_on_held_out_rows(labelled):
     docs, labels = labelled
     machine = quality.train(docs, labels)
