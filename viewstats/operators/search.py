@@ -7,7 +7,6 @@ from viewstats.schemas import LOAD_DATE
 
 MONTHS = ("2022-06", "2022-07")
 MONTH_LABELS = ("june", "july")
-TIE_SALTS = 32
 
 
 def in_month(df: DataFrame, month: str) -> DataFrame:
@@ -29,20 +28,18 @@ def _winners(counts: DataFrame) -> DataFrame:
 
 
 def _split_winners(counts: DataFrame) -> DataFrame:
-    """The same rows without bringing a user's ties into one task: winners of each (user, salt) are
-    kept, then joined with the user's highest count, a join whose large partitions AQE splits."""
-    salted = counts.withColumn("_salt", F.pmod(F.xxhash64("keyword"), F.lit(TIE_SALTS)))
-    by_salt = Window.partitionBy("user_id", "_salt").orderBy(F.col("times").desc())
-    best = salted.withColumn("_rank", F.rank().over(by_salt)).where("_rank = 1").drop("_rank", "_salt")
-    highest = best.groupBy("user_id").agg(F.max("times").alias("times"))
-    return best.join(highest, ["user_id", "times"])
+    """The same rows without bringing a user's ties into one task: the counts are joined with the user's
+    highest count. That one is combined before it is shuffled; AQE sends it to the counts where it is
+    measured to be small, and else splits the large partitions of the join."""
+    highest = counts.groupBy("user_id").agg(F.max("times").alias("times"))
+    return counts.join(highest, ["user_id", "times"])
 
 
 def top_keyword(df: DataFrame, label: str, split_ties: bool = True) -> DataFrame:
     """Each user's most frequent keywords, all ties kept.
 
-    ``split_ties`` spreads a user whose keywords all tie over many tasks. It costs two small shuffles
-    and pays where the ties are not joined by user anyway.
+    ``split_ties`` spreads a user whose keywords all tie over many tasks. It bounds what a task holds;
+    the rank has fewer stages where the ties are joined by user anyway.
     """
     counts = keyword_counts(df)
     winners = _split_winners(counts) if split_ties else _winners(counts)
