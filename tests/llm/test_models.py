@@ -212,6 +212,55 @@ def test_blocks_do_not_change_likelihoods(small):
     assert np.allclose(hmm.log10_likelihood(small, texts), alone)
 
 
+def test_steps_work_on_many_texts():
+    """What a step costs besides its tokens is shared by enough of them, long texts included."""
+    lengths = np.random.default_rng(6).lognormal(5.6, 1.1, 33_000).astype(int) + 1
+    texts = [np.zeros(n, hmm.CODE) for n in lengths]
+    blocks = list(hmm._blocks(texts))
+    assert sorted(i for chosen in blocks for i in chosen) == list(range(len(texts)))
+    assert lengths.sum() > 300 * sum(lengths[chosen[0]] for chosen in blocks)
+
+
+def test_counts_of_long_and_unlike_texts(small, monkeypatch):
+    """Against forward and backward probabilities of one text at a time, in doubles, each scaled anew."""
+    rng = np.random.default_rng(9)
+    lengths = [0, 0, 1, 2, 15, 16, 17, 18, 40, 700, 701, 9000]
+    texts = [np.append(rng.integers(0, 50, n), hmm.END).astype(hmm.CODE) for n in lengths]
+    times = rng.integers(1, 2000, len(texts))
+    start, move, emit = np.zeros(hmm.STATES), np.zeros((hmm.STATES,) * 2), np.zeros((hmm.ALL, hmm.STATES))
+    for text, n in zip(texts, times):
+        ahead = [small.start * small.emit[text[0]]]
+        for symbol in text[1:]:
+            ahead.append(ahead[-1] / ahead[-1].sum() @ small.move * small.emit[symbol])
+        rest = np.ones(hmm.STATES)
+        for step in range(len(text) - 1, -1, -1):
+            states = ahead[step] * rest / (ahead[step] @ rest)
+            emit[text[step]] += n * states
+            if step:
+                here = rest * small.emit[text[step]]
+                pairs = ahead[step - 1][:, None] * small.move * here
+                move += n * pairs / pairs.sum()
+                rest = small.move @ here
+                rest /= rest.sum()
+        start += n * states
+    for part in (hmm.PART_TOKENS, 40, 1):
+        monkeypatch.setattr(hmm, "PART_TOKENS", part)
+        got = np.zeros(hmm.STATES), np.zeros((hmm.STATES,) * 2), np.zeros((hmm.ALL, hmm.STATES))
+        hmm.expected_counts(small, texts, *got, times)
+        assert all(np.allclose(a, b, rtol=1e-5, atol=1e-4) for a, b in zip(got, (start, move, emit)))
+
+
+def test_likelihood_of_long_and_unlike_texts(small):
+    rng = np.random.default_rng(10)
+    texts = [np.append(rng.integers(0, 50, n), hmm.END).astype(np.int32) for n in (0, 1, 7, 8, 9, 9, 500, 3000)]
+    for text, got in zip(texts, hmm.log10_likelihood(small, texts)):
+        state, expected = small.start * small.emit[text[0]], 0.0
+        for symbol in text[1:]:
+            expected += math.log10(state.sum())
+            state = state / state.sum() @ small.move * small.emit[symbol]
+        assert got == pytest.approx(expected + math.log10(state.sum()))
+
+
 def test_scores_and_counts(spark, monkeypatch):
     monkeypatch.setattr(hmm, "KNOWN", 30)
     monkeypatch.setattr(hmm, "COUNTED", 50)

@@ -39,10 +39,12 @@ CODE = np.dtype(np.min_scalar_type(END)).newbyteorder("<")  # of stored symbols
 ROUNDS = 14
 SCALED = 2  # steps after which states are scaled; none shrinks below its least move in a step
 LIKELIHOOD_SCALED = 8  # likewise for likelihoods, in double precision
-TASK_TOKENS = 1 << 22  # of a task in a round, at least
+TASK_TOKENS = 1 << 24  # of a task in a round, at least; many, as there are few long texts of like length
 RELEASED = 4  # rounds after which shuffle files are let go
 PRIOR = 20.0  # tokens of the whole corpus' mix that each state is given
-BLOCK_TOKENS, BLOCK_TEXTS, MOST_TOKENS = 1 << 16, 256, 1 << 21  # see _blocks
+BLOCK_TOKENS, BLOCK_TEXTS, MOST_TOKENS = 1 << 17, 1024, 1 << 21  # see _blocks
+PART_TOKENS = 1 << 17  # of steps whose counts are added up together
+EVENED = 16  # steps after which the way back is made to fit the way on again
 GROUP_TOKENS = 1 << 22  # read before texts of like length are put together
 SIGNS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
@@ -185,8 +187,8 @@ def from_counts(start: np.ndarray, move: np.ndarray, emit: np.ndarray, shares: n
 def _blocks(texts: list[np.ndarray], tokens: int = BLOCK_TOKENS, rows: int = BLOCK_TEXTS,
             most: int = MOST_TOKENS) -> Iterator[np.ndarray]:
     """Places of texts of like length, longest first, that make up a block together: about `tokens` of
-    short texts, which stay in the processor's cache, but `rows` texts at least, as a step of a few texts
-    costs as much as one of many, and `most` tokens at most."""
+    short texts, but `rows` texts at least, as a step of a few texts costs as much as one of many, and
+    `most` tokens at most."""
     order = np.argsort([-len(t) for t in texts], kind="stable")
     start = 0
     while start < len(order):
@@ -196,32 +198,34 @@ def _blocks(texts: list[np.ndarray], tokens: int = BLOCK_TOKENS, rows: int = BLO
         start += chosen
 
 
-def _grid(texts: list[np.ndarray], chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Symbols by step and text, and how many texts are as long as each step."""
+def _steps(texts: list[np.ndarray], chosen: np.ndarray) -> tuple[np.ndarray, list[int], list[int]]:
+    """Symbols of a block step after step, those of texts that have ended left out; how many texts are as
+    long as each step; and where each step begins."""
     lengths = np.array([len(texts[i]) for i in chosen])
-    grid = np.full((lengths[0], len(chosen)), END, np.int32)
-    for column, i in enumerate(chosen):
-        grid[:lengths[column], column] = texts[i]
+    grid = np.full((len(chosen), lengths[0]), END, CODE)
+    for row, i in enumerate(chosen):
+        grid[row, :lengths[row]] = texts[i]
     alive = np.searchsorted(-lengths, -np.arange(1, lengths[0] + 1), "right")
-    return grid, alive
+    symbols = grid.T[np.arange(len(chosen)) < alive[:, None]].astype(np.intp)
+    return symbols, alive.tolist(), [0, *np.cumsum(alive).tolist()]
 
 
 def log10_likelihood(model: Model, texts: list[np.ndarray]) -> np.ndarray:
     """log10 of the exact probability of each text, by the scaled forward recursion."""
-    out, onward, emitted = np.zeros(len(texts)), model.move.T.copy(), model.emit.T.copy()
+    out = np.zeros(len(texts))
     for chosen in _blocks(texts):
-        grid, alive = _grid(texts, chosen)
-        state, scores = np.repeat(model.start[:, None], len(chosen), axis=1), np.zeros(len(chosen))
-        last = len(alive) - 1
-        for step, m in enumerate(alive.tolist()):
+        symbols, alive, at = _steps(texts, chosen)
+        state, scores = np.repeat(model.start[None], len(chosen), axis=0), np.zeros(len(chosen))
+        for step, (m, left) in enumerate(zip(alive, [*alive[1:], 0])):
             if step:
-                state = onward @ state[:, :m]
-            state *= emitted[:, grid[step, :m]]
-            # Doubles hold several steps; a text that ends here is scaled for the last time.
-            if step % LIKELIHOOD_SCALED == 0 or step == last or alive[step + 1] < m:
-                scale = state.sum(axis=0)
-                state /= scale
-                scores[:m] += np.log10(scale)
+                state = state[:m] @ model.move
+            state *= model.emit.take(symbols[at[step]:at[step + 1]], axis=0)
+            if left < m:
+                scores[left:m] += np.log10(state[left:].sum(axis=1))
+            if step % LIKELIHOOD_SCALED == 0:  # doubles hold several steps
+                scale = state[:left].sum(axis=1)
+                state[:left] /= scale[:, None]
+                scores[:left] += np.log10(scale)
         out[chosen] = scores
     return out
 
@@ -230,51 +234,63 @@ def expected_counts(model: Model, texts: list[np.ndarray], start, move, emit, ti
     """Adds the expected counts of first states, moves and emissions of the texts, each text `times` over.
 
     Emissions go relative to the likeliest state's, which leaves the states' probabilities as they are.
-    Arrays are laid out by step, state and text, and hold single precision; counts are added up in double."""
+    A row is the states of a token. What scales the states of a step scales its emissions, too, so that
+    the way back needs no scale of its own but against rounding. Rows hold single precision."""
     most = model.emit.max(axis=1, keepdims=True)
-    relative = np.divide(model.emit, most, out=np.zeros_like(model.emit), where=most > 0).T.astype(np.float32)
-    onward, first = model.move.T.astype(np.float32), model.start.astype(np.float32)[:, None]
-    back, moved = model.move.astype(np.float32), np.zeros((STATES, STATES))
-    room = np.empty((3, 0), np.float32)  # used again by every block
+    relative = np.divide(model.emit, most, out=np.zeros_like(model.emit), where=most > 0).astype(np.float32)
+    onward, back, first = (x.astype(np.float32) for x in (model.move, model.move.T, model.start))
+    added = np.ones((STATES, STATES), np.float32)  # a product with it has a row's sum in every place
+    moved, emitted = np.zeros((STATES, STATES)), np.zeros((STATES, len(emit)))
+    room = np.empty((2, 0, STATES), np.float32)  # used again by every block
     for chosen in _blocks(texts):
-        grid, alive = _grid(texts, chosen)
-        alive, (steps, n) = alive.tolist(), grid.shape
-        grid = grid.astype(np.intp)
-        weight = np.ones(n, np.float32) if times is None else times[chosen].astype(np.float32)
-        # By step: what is expected before the symbol is seen, after it, and the symbol's emission, which
-        # becomes that times what comes after the step.
-        if room.shape[1] < steps * STATES * n:
-            room = np.empty((3, steps * STATES * n), np.float32)
-        before, after, follows = room[:, :steps * STATES * n].reshape(3, steps, STATES, n)
-        before[:, :, alive[-1]:] = after[:, :, alive[-1]:] = 0  # where texts have ended
-        for k in range(STATES):
-            np.take(relative[k], grid, out=follows[:, k], mode="clip")
-        for step, m in enumerate(alive):
-            guess, state = before[step, :, :m], after[step, :, :m]
-            if step:
-                np.matmul(onward, after[step - 1, :, :m], out=guess)
-            else:
-                guess[...] = first
-            np.multiply(guess, follows[step, :, :m], out=state)
-            if step % SCALED == 0:
-                state /= state.sum(axis=0)
-        for step in range(steps - 2, -1, -1):
-            m = alive[step + 1]
-            rest = back @ follows[step + 1, :, :m]
-            if step % SCALED == 0:
-                rest /= rest.sum(axis=0)
-            follows[step, :, :m] *= rest
-        before *= follows  # in proportion to the states' probabilities
-        total = before.sum(axis=1)
-        share = np.divide(weight, total, out=np.zeros_like(total), where=total > 0)
-        before *= share[:, None]
-        start += before[0].sum(axis=1)
-        after[:-1] *= share[1:, None]  # zero where the text ends
-        moved += (after[:-1] @ follows[1:].swapaxes(1, 2)).sum(axis=0, dtype=np.float64)
-        flat = grid.ravel()
-        for k in range(STATES):
-            emit[:, k] += np.bincount(flat, before[:, k].ravel(), minlength=len(emit))
+        symbols, alive, at = _steps(texts, chosen)
+        steps, n = len(alive), len(chosen)
+        weight = (np.ones(n) if times is None else times[chosen]).astype(np.float32)[:, None]
+        if room.shape[1] < at[-1]:
+            room = np.empty((2, at[-1], STATES), np.float32)
+        seen, after = room[:, :at[-1]]  # emissions, and the states after them
+        parts = [range(low, min(low + max(1, PART_TOKENS // n), steps))
+                 for low in range(0, steps, max(1, PART_TOKENS // n))]
+        for part in parts:
+            low, high = at[part.start], at[part.stop]
+            np.take(relative, symbols[low:high], axis=0, out=seen[low:high], mode="clip")
+            for step in part:
+                emission, state = seen[at[step]:at[step + 1]], after[at[step]:at[step + 1]]
+                if step:
+                    np.matmul(after[at[step - 1]:at[step - 1] + alive[step]], onward, out=state)
+                else:
+                    state[...] = first
+                state *= emission
+                if step % SCALED == 0:
+                    scale = state @ added
+                    state /= scale
+                    emission /= scale
+        rest = None  # by text, the probability of what comes after the step, over that of the whole
+        for part in reversed(parts):
+            low, high = at[part.start], at[part.stop]
+            rests, follows = np.empty((2, high - low, STATES), np.float32)
+            for step in reversed(part):
+                left = alive[step + 1] if step + 1 < steps else 0
+                here = slice(at[step] - low, at[step + 1] - low)
+                state, later, follow = after[at[step]:at[step + 1]], rests[here], follows[here]
+                if left:
+                    np.multiply(seen[at[step + 1]:at[step + 2]], rest, out=follow[:left])
+                    np.matmul(follow[:left], back, out=later[:left])
+                    if step % EVENED == 0:
+                        even = weight[:left] / ((state[:left] * later[:left]) @ added)
+                        later[:left] *= even
+                        follow[:left] *= even
+                follow[left:] = 0  # where the text ends
+                later[left:] = weight[left:len(state)] / state[left:].sum(axis=1, keepdims=True)
+                rest = later
+            states = after[low:high]
+            moved += states.T @ follows
+            states *= rests  # how often each state is expected here
+            for k in range(STATES):
+                emitted[k] += np.bincount(symbols[low:high], states[:, k], minlength=len(emit))
+        start += after[:n].sum(axis=0, dtype=np.float64)
     move += model.move * moved
+    emit += emitted.T
 
 
 def starting_model(shares: np.ndarray, seed: int = 11) -> Model:
@@ -322,7 +338,7 @@ def baum_welch(texts: DataFrame, lexicon: Lexicon, model: Model) -> Model:
         start, move, emit = np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros((ALL, STATES))
         read = ((times.as_py(), np.frombuffer(symbols.as_py(), CODE))
                 for batch in batches for symbols, times in zip(*batch.columns))
-        for group in _groups(read):
+        for group in _groups(read, 2 * TASK_TOKENS):
             times, symbols = zip(*group)
             expected_counts(model, symbols, start, move, emit, np.array(times))
         used = np.flatnonzero(emit.any(axis=1))
