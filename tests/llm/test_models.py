@@ -2,10 +2,12 @@
 
 import math
 import random
+import zlib
 from collections import Counter
 from itertools import product
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -221,6 +223,62 @@ def test_steps_work_on_many_texts():
     assert lengths.sum() > 300 * sum(lengths[chosen[0]] for chosen in blocks)
 
 
+def test_steps_of_a_task_work_on_wide_rows():
+    lengths = np.random.default_rng(6).lognormal(5.6, 1.1, 33_000).astype(int) + 1
+    blocks = list(hmm._blocks([np.zeros(n, hmm.CODE) for n in lengths]))
+    assert lengths.sum() > 550 * sum(lengths[chosen[0]] for chosen in blocks)
+    assert all(lengths[chosen].sum() <= max(hmm.MOST_TOKENS, lengths[chosen[0]]) for chosen in blocks)
+
+
+def reading_lexicon(counts: Counter) -> hmm.Lexicon:
+    words = sorted(counts, key=lambda w: (-counts[w], w))
+    n = np.array([counts[w] for w in words], float)
+    return hmm.Lexicon(words, np.log10(n + 1), np.zeros(hmm.ENDINGS), np.ones(hmm.ALL) / hmm.ALL, 1, 1, 1)
+
+
+def plain_ending(word: bytes) -> int:
+    bare = word.rstrip(b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~")
+    return zlib.crc32(bare[-3:], len(bare) != len(word)) % hmm.ENDINGS
+
+
+def test_words_are_read_many_at_once(monkeypatch):
+    """No call for a single word, and the same words, places and symbols as those of plain Python."""
+    def one_by_one(word):
+        raise AssertionError("words are read one by one")
+
+    rng = random.Random(12)
+    texts = [bytes(rng.randrange(256) for _ in range(rng.randrange(40))) for _ in range(300)]
+    texts += [b"", b" ", b"\n a\x0bB\x0c", b"...", b"x!", "É. été, ÉTÉ\x85a\u00a0b".encode(), b"\x1c\x1d", b"The the THE!"]
+    texts += [" ".join(f"w{rng.randrange(90)}{rng.choice(['', '.', '?)'])}" for _ in range(50)).encode() for _ in range(60)]
+    counts = Counter(w for t in texts[::2] for w in t.lower().split())
+    lexicon = reading_lexicon(counts)
+    monkeypatch.setattr(hmm, "ending", one_by_one)
+    monkeypatch.setattr(hmm, "SYMBOLS", 40)
+    places, reader = {w: i for i, w in enumerate(lexicon.words)}, hmm.Reader(lexicon)
+    for text in texts:
+        words = text.lower().split()
+        own = [places[w] if places.get(w, 40) < 40 else 40 + plain_ending(w) for w in words]
+        got, at, symbols = reader(text)
+        assert got == words and symbols.tolist() == [*own, hmm.END]
+        assert [i if i >= 0 else None for i in at.tolist()] == [places.get(w) for w in words]
+    column = pa.array([b"before", *texts, b"after"], pa.binary()).slice(1, len(texts))
+    assert [t.tolist() for t in reader.read(column).texts()] == [reader(t)[2].tolist() for t in texts]
+
+
+def test_parts_hold_all_rows_in_order():
+    rng = random.Random(13)
+    rows = [(i, bytes(rng.choice([0, 1, 30, 300]))) for i in range(200)]
+    batches = [pa.RecordBatch.from_arrays([pa.array([k for k, _ in rows[a:a + 37]]),
+                                           pa.array([t for _, t in rows[a:a + 37]], pa.binary())], ["k", "t"])
+               for a in range(0, 200, 37)] + [pa.RecordBatch.from_pydict(
+                   {"k": pa.array([], pa.int64()), "t": pa.array([], pa.binary())})]
+    for most in (1, 100, 1000, 1 << 20):
+        parts = [list(zip(*(c.to_pylist() for c in part.columns))) for part in hmm._parts(iter(batches), most)]
+        assert [row for part in parts for row in part] == rows
+        sizes = [[len(t) + hmm.ROW_BYTES for _, t in part] for part in parts]  # empty texts are bounded, too
+        assert all(part and sum(part[:-1]) < most for part in sizes) and all(sum(part) >= most for part in sizes[:-1])
+
+
 def test_counts_of_long_and_unlike_texts(small, monkeypatch):
     """Against forward and backward probabilities of one text at a time, in doubles, each scaled anew."""
     rng = np.random.default_rng(9)

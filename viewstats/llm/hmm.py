@@ -15,12 +15,12 @@ Tables that go to the tasks have fixed bounds (`KNOWN` words of up to `LONGEST`
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,7 +34,7 @@ END = SYMBOLS + ENDINGS
 ALL = END + 1
 KNOWN = 1 << 17
 LONGEST = 64
-COUNTED = 300_000
+COUNTED = 1 << 24  # bytes of texts whose words are counted together
 CODE = np.dtype(np.min_scalar_type(END)).newbyteorder("<")  # of stored symbols
 ROUNDS = 14
 SCALED = 2  # steps after which states are scaled; none shrinks below its least move in a step
@@ -42,17 +42,27 @@ LIKELIHOOD_SCALED = 8  # likewise for likelihoods, in double precision
 TASK_TOKENS = 1 << 24  # of a task in a round, at least; many, as there are few long texts of like length
 RELEASED = 4  # rounds after which shuffle files are let go
 PRIOR = 20.0  # tokens of the whole corpus' mix that each state is given
-BLOCK_TOKENS, BLOCK_TEXTS, MOST_TOKENS = 1 << 17, 1024, 1 << 21  # see _blocks
-PART_TOKENS = 1 << 17  # of steps whose counts are added up together
-EVENED = 16  # steps after which the way back is made to fit the way on again
-GROUP_TOKENS = 1 << 22  # read before texts of like length are put together
-SIGNS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+BLOCK_TOKENS, BLOCK_TEXTS, MOST_TOKENS = 1 << 18, 4096, 3 << 20  # see _blocks
+PART_TOKENS = 1 << 16  # of steps whose counts are added up together
+EVENED = 16  # steps after which what is expected of a text is made to add up again
+READ_BYTES = 1 << 24  # of texts that are read, and put together by length, at once
+ROW_BYTES = 32  # that a row counts for besides its text, which may be empty
+SIGNS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+
+
+def endings(words: pa.Array) -> np.ndarray:
+    """Numbers of the classes of words without symbols: their last letters and whether signs follow them."""
+    words = words.cast(pa.binary())
+    bare = pc.ascii_rtrim(words.view(pa.string()), characters=SIGNS).view(pa.binary())
+    signs = pc.binary_length(bare).to_numpy() != pc.binary_length(words).to_numpy()
+    last = pc.binary_slice(bare, -3).dictionary_encode()
+    numbers = np.array([[zlib.crc32(letters, follow) % ENDINGS for follow in (0, 1)]
+                        for letters in last.dictionary.to_pylist()], np.int64).reshape(-1, 2)
+    return numbers[last.indices.to_numpy(), signs.astype(np.intp)]
 
 
 def ending(word: bytes) -> int:
-    """Number of the class of a word without a symbol: its last letters and whether signs follow them."""
-    bare = word.rstrip(SIGNS)
-    return zlib.crc32(bare[-3:], len(bare) != len(word)) % ENDINGS
+    return int(endings(pa.array([word], pa.binary()))[0])
 
 
 def held_out(key: str = "doc_id") -> Column:
@@ -67,23 +77,43 @@ def _texts(docs: DataFrame, text: str, *others: Column) -> DataFrame:
     return docs.select(*others, whole(text).cast("binary").alias("text"))
 
 
+def _parts(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """The same rows, as many at once as have about `most` bytes; the text is the last column."""
+    held, size = [], 0
+    for batch in batches:
+        sizes = pc.binary_length(batch.column(batch.num_columns - 1)).to_numpy()
+        ends = np.cumsum(sizes.astype(np.int64) + ROW_BYTES)
+        start = 0
+        while start < len(ends):
+            before = int(ends[start - 1]) if start else 0
+            stop = min(int(np.searchsorted(ends, before + most - size)) + 1, len(ends))
+            held.append(batch.slice(start, stop - start))
+            size += int(ends[stop - 1]) - before
+            start = stop
+            if size >= most:
+                yield pa.concat_batches(held)
+                held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
+def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts, A-Z lower-cased, and where each text's begin among them, and their number."""
+    parts = pc.ascii_split_whitespace(pc.ascii_lower(texts.cast(pa.binary()).view(pa.string())))
+    words = parts.values.view(pa.binary())
+    some = pc.binary_length(words).to_numpy() > 0  # space at either end of a text leaves an empty word there
+    if some.all():
+        return words, parts.offsets.to_numpy().astype(np.int64)
+    before = np.concatenate([[0], np.cumsum(some)])
+    return words.filter(pa.array(some)), before[parts.offsets.to_numpy()]
+
+
 def count_words(docs: DataFrame, text: str = "text") -> DataFrame:
     """word, n: counts of all lower-cased words, added up in each task before they are shuffled."""
     def run(batches):
-        counts: Counter = Counter()
-
-        def flush():
-            return pa.RecordBatch.from_pydict({
-                "word": pa.array(counts.keys(), pa.binary()), "n": pa.array(counts.values(), pa.int64())})
-
-        for batch in batches:
-            for value in batch.column(0):
-                counts.update(value.as_py().lower().split())
-                if len(counts) >= COUNTED:
-                    yield flush()
-                    counts.clear()
-        if counts:
-            yield flush()
+        for part in _parts(batches, COUNTED):
+            counted = split_words(part.column(0))[0].value_counts()
+            yield pa.RecordBatch.from_arrays([counted.field("values"), counted.field("counts")], ["word", "n"])
 
     return _texts(docs, text).mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
@@ -118,8 +148,8 @@ def make_lexicon(counts: DataFrame, texts: int) -> Lexicon:
 
     def run(batches):
         for batch in batches:
-            classes = [ending(word.as_py()) for word in batch.column(0)]
-            yield pa.RecordBatch.from_arrays([pa.array(classes, pa.int64()), batch.column(1)], ["ending", "n"])
+            classes = pa.array(endings(batch.column(0)), pa.int64())
+            yield pa.RecordBatch.from_arrays([classes, batch.column(1)], ["ending", "n"])
 
     sums = (counts.mapInArrow(run, "ending long, n long").groupBy("ending")
             .agg(F.sum("n").alias("tokens"), F.count(F.lit(1)).alias("words")).collect())  # ENDINGS rows
@@ -127,7 +157,7 @@ def make_lexicon(counts: DataFrame, texts: int) -> Lexicon:
     for row in sums:
         tokens[row["ending"]], distinct[row["ending"]] = row["tokens"], row["words"]
     total, types = int(tokens.sum()) + texts, int(distinct.sum()) + (texts > 0)
-    own = np.array([ending(word) for word in words[:SYMBOLS]], np.int64)
+    own = endings(pa.array(words[:SYMBOLS], pa.binary()))
     tokens -= np.bincount(own, n[:SYMBOLS], minlength=ENDINGS)
     distinct -= np.bincount(own, minlength=ENDINGS)
     seen = np.concatenate([n[:SYMBOLS], np.zeros(SYMBOLS - len(n[:SYMBOLS])), tokens, [texts]]) + 0.5
@@ -135,11 +165,18 @@ def make_lexicon(counts: DataFrame, texts: int) -> Lexicon:
     return Lexicon(words, np.log10(n + 1), np.log10(tokens + distinct + 1), seen / seen.sum(), total, types, texts)
 
 
-class _Places(dict):
-    """Place of a word among the known ones, or -1 less its ending."""
+@dataclass
+class Read:
+    """Texts as read: all words one after another, their places among the known ones or -1, the symbols
+    with an end after each text, and where each text begins among the words and among the symbols."""
+    words: pa.Array
+    places: np.ndarray
+    symbols: np.ndarray
+    word_at: np.ndarray
+    at: np.ndarray
 
-    def __missing__(self, word: bytes) -> int:
-        return -1 - ending(word)
+    def texts(self) -> list[np.ndarray]:
+        return [self.symbols[start:stop] for start, stop in zip(self.at.tolist(), self.at[1:].tolist())]
 
 
 class Reader:
@@ -147,16 +184,27 @@ class Reader:
 
     def __init__(self, lexicon: Lexicon):
         self.lexicon = lexicon
-        self.places = _Places((word, place) for place, word in enumerate(lexicon.words))
-        self.symbol = np.array([i if i < SYMBOLS else SYMBOLS + ending(w)
-                                for i, w in enumerate(lexicon.words)] or [0], np.int32)
+        self.known = pa.array(lexicon.words, pa.binary())
+        places = np.arange(max(len(lexicon.words), 1))
+        self.symbol = places.astype(CODE)
+        self.symbol[SYMBOLS:] = SYMBOLS + endings(self.known[SYMBOLS:])
+
+    def read(self, texts: pa.Array) -> Read:
+        words, word_at = split_words(texts)
+        places = pc.index_in(words, value_set=self.known).fill_null(-1).to_numpy()
+        own = self.symbol.take(np.maximum(places, 0))
+        unknown = places < 0
+        own[unknown] = SYMBOLS + endings(words.filter(pa.array(unknown)))
+        at = word_at + np.arange(len(word_at))
+        symbols, inner = np.full(at[-1], END, CODE), np.ones(at[-1], bool)
+        inner[at[1:] - 1] = False
+        symbols[inner] = own
+        return Read(words, places, symbols, word_at, at)
 
     def __call__(self, text: bytes) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-        """Words, their places, and the symbols of the text, its end included."""
-        words = text.lower().split()
-        places = np.fromiter(map(self.places.__getitem__, words), np.int64, len(words))
-        symbols = np.where(places >= 0, self.symbol[np.maximum(places, 0)], SYMBOLS - 1 - places)
-        return words, places, np.append(symbols, END).astype(np.int32)
+        """Words of one text, their places, and the symbols of the text, its end included."""
+        read = self.read(pa.array([text], pa.binary()))
+        return read.words.to_pylist(), read.places, read.symbols
 
 
 def reader_of(fields: tuple) -> Reader:
@@ -213,7 +261,7 @@ def _steps(texts: list[np.ndarray], chosen: np.ndarray) -> tuple[np.ndarray, lis
 def log10_likelihood(model: Model, texts: list[np.ndarray]) -> np.ndarray:
     """log10 of the exact probability of each text, by the scaled forward recursion."""
     out = np.zeros(len(texts))
-    for chosen in _blocks(texts):
+    for chosen in _blocks(texts, BLOCK_TOKENS // 2, BLOCK_TEXTS // 4):  # of doubles, fewer stay in the cache
         symbols, alive, at = _steps(texts, chosen)
         state, scores = np.repeat(model.start[None], len(chosen), axis=0), np.zeros(len(chosen))
         for step, (m, left) in enumerate(zip(alive, [*alive[1:], 0])):
@@ -234,61 +282,59 @@ def expected_counts(model: Model, texts: list[np.ndarray], start, move, emit, ti
     """Adds the expected counts of first states, moves and emissions of the texts, each text `times` over.
 
     Emissions go relative to the likeliest state's, which leaves the states' probabilities as they are.
-    A row is the states of a token. What scales the states of a step scales its emissions, too, so that
-    the way back needs no scale of its own but against rounding. Rows hold single precision."""
+    A row is the states of a token. On the way back, how often each state is expected is shared out among
+    the states before it, by how much of it comes from each; so neither emissions nor scales are needed
+    again, and sums stay as they are but for rounding. Rows hold single precision."""
     most = model.emit.max(axis=1, keepdims=True)
     relative = np.divide(model.emit, most, out=np.zeros_like(model.emit), where=most > 0).astype(np.float32)
-    onward, back, first = (x.astype(np.float32) for x in (model.move, model.move.T, model.start))
+    onward, back, first = (np.ascontiguousarray(x, np.float32) for x in (model.move, model.move.T, model.start))
     added = np.ones((STATES, STATES), np.float32)  # a product with it has a row's sum in every place
     moved, emitted = np.zeros((STATES, STATES)), np.zeros((STATES, len(emit)))
-    room = np.empty((2, 0, STATES), np.float32)  # used again by every block
+    room, part_room = np.empty((0, STATES), np.float32), np.empty((2, 0, STATES), np.float32)  # used again
     for chosen in _blocks(texts):
         symbols, alive, at = _steps(texts, chosen)
         steps, n = len(alive), len(chosen)
         weight = (np.ones(n) if times is None else times[chosen]).astype(np.float32)[:, None]
-        if room.shape[1] < at[-1]:
-            room = np.empty((2, at[-1], STATES), np.float32)
-        seen, after = room[:, :at[-1]]  # emissions, and the states after them
+        if len(room) < at[-1]:
+            room = np.empty((at[-1], STATES), np.float32)
+        coming = np.empty((n, STATES), np.float32)  # the states of a step before its symbols are known
         parts = [range(low, min(low + max(1, PART_TOKENS // n), steps))
                  for low in range(0, steps, max(1, PART_TOKENS // n))]
         for part in parts:
             low, high = at[part.start], at[part.stop]
-            np.take(relative, symbols[low:high], axis=0, out=seen[low:high], mode="clip")
+            np.take(relative, symbols[low:high], axis=0, out=room[low:high], mode="clip")
             for step in part:
-                emission, state = seen[at[step]:at[step + 1]], after[at[step]:at[step + 1]]
-                if step:
-                    np.matmul(after[at[step - 1]:at[step - 1] + alive[step]], onward, out=state)
-                else:
-                    state[...] = first
-                state *= emission
+                m, state = alive[step], room[at[step]:at[step + 1]]
+                state *= np.matmul(before[:m], onward, out=coming[:m]) if step else first
                 if step % SCALED == 0:
-                    scale = state @ added
-                    state /= scale
-                    emission /= scale
-        rest = None  # by text, the probability of what comes after the step, over that of the whole
+                    state /= np.matmul(state, added, out=coming[:m])
+                before = state
+        left = 0  # texts that go on after the step, and `later`, how often their next states are expected
         for part in reversed(parts):
             low, high = at[part.start], at[part.stop]
-            rests, follows = np.empty((2, high - low, STATES), np.float32)
+            if left:
+                later = later.copy()  # as its place is used again
+            if part_room.shape[1] < high - low:
+                part_room = np.empty((2, high - low, STATES), np.float32)
+            expected, follows = part_room[:, :high - low]
             for step in reversed(part):
-                left = alive[step + 1] if step + 1 < steps else 0
-                here = slice(at[step] - low, at[step + 1] - low)
-                state, later, follow = after[at[step]:at[step + 1]], rests[here], follows[here]
+                m, state = alive[step], room[at[step]:at[step + 1]]
+                now, follow = (x[at[step] - low:at[step + 1] - low] for x in (expected, follows))
                 if left:
-                    np.multiply(seen[at[step + 1]:at[step + 2]], rest, out=follow[:left])
-                    np.matmul(follow[:left], back, out=later[:left])
+                    np.matmul(state[:left], onward, out=coming[:left])
+                    np.divide(later, coming[:left], out=follow[:left])
+                    np.matmul(follow[:left], back, out=now[:left])
+                    now[:left] *= state[:left]
                     if step % EVENED == 0:
-                        even = weight[:left] / ((state[:left] * later[:left]) @ added)
-                        later[:left] *= even
-                        follow[:left] *= even
-                follow[left:] = 0  # where the text ends
-                later[left:] = weight[left:len(state)] / state[left:].sum(axis=1, keepdims=True)
-                rest = later
-            states = after[low:high]
-            moved += states.T @ follows
-            states *= rests  # how often each state is expected here
+                        now[:left] *= weight[:left] / np.matmul(now[:left], added, out=coming[:left])
+                if left < m:  # where the text ends
+                    follow[left:] = 0
+                    now[left:] = state[left:] * (weight[left:m] / state[left:].sum(axis=1, keepdims=True))
+                later, left = now, m
+            moved += room[low:high].T @ follows
             for k in range(STATES):
-                emitted[k] += np.bincount(symbols[low:high], states[:, k], minlength=len(emit))
-        start += after[:n].sum(axis=0, dtype=np.float64)
+                emitted[k] += np.bincount(symbols[low:high], expected[:, k], minlength=len(emit))
+        start += later.sum(axis=0, dtype=np.float64)
     move += model.move * moved
     emit += emitted.T
 
@@ -301,7 +347,7 @@ def starting_model(shares: np.ndarray, seed: int = 11) -> Model:
     return from_counts(np.ones(STATES), move, emit, shares)
 
 
-def _groups(symbols: Iterator, most: int = GROUP_TOKENS) -> Iterator[list]:
+def _groups(symbols: Iterator, most: int) -> Iterator[list]:
     """Items (with symbols last) in groups of about so many tokens."""
     held, size = [], 0
     for item in symbols:
@@ -320,9 +366,11 @@ def sequences(docs: DataFrame, lexicon: Lexicon, text: str = "text") -> DataFram
 
     def run(batches):
         reader = reader_of(sent.value)
-        for batch in batches:
-            coded = [reader(value.as_py())[2].astype(CODE).tobytes() for value in batch.column(0)]
-            yield pa.RecordBatch.from_arrays([pa.array(coded, pa.binary())], ["symbols"])
+        for part in _parts(batches, READ_BYTES):
+            read = reader.read(part.column(0))
+            ends = (read.at * CODE.itemsize).astype(np.int32)
+            coded = pa.Array.from_buffers(pa.binary(), len(part), [None, *map(pa.py_buffer, (ends, read.symbols))])
+            yield pa.RecordBatch.from_arrays([coded], ["symbols"])
 
     return _texts(docs, text).mapInArrow(run, "symbols binary").groupBy("symbols").agg(
         F.count(F.lit(1)).alias("times"))
@@ -401,30 +449,31 @@ def score(docs: DataFrame, trained: Trained, key: str = "doc_id", text: str = "t
 
     def run(batches):
         reader, model = reader_of(sent.value[0]), Model(*sent.value[1])
-        lexicon, weights = reader.lexicon, np.append(reader.lexicon.weights, 0.0)
-
-        def read():
-            for batch in batches:
-                for k, value in zip(*batch.columns):
-                    words, places, symbols = reader(value.as_py())
-                    rare = Counter(words[i] for i in np.flatnonzero(places < 0))
-                    known = places >= 0
-                    in_ending = symbols[:-1] >= SYMBOLS
-                    base = float(weights[places[known]].sum())
-                    inside = (float(weights[places[known & in_ending]].sum())
-                              - float(lexicon.endings[symbols[:-1][in_ending] - SYMBOLS].sum()))
-                    yield k.as_py(), len(symbols), int(known.sum()), base, inside, rare, symbols
-
-        for group in _groups(read()):
-            likelihoods = log10_likelihood(model, [item[-1] for item in group])
-            keys, tokens, known, base, inside, rare, _ = zip(*group)
+        weights, inside = np.append(reader.lexicon.weights, 0.0), reader.lexicon.endings
+
+        for part in _parts(batches, READ_BYTES):
+            read = reader.read(part.column(1))
+            likelihoods = log10_likelihood(model, read.texts())
+            known, own = read.places >= 0, np.delete(read.symbols, read.at[1:] - 1)
+            row = np.repeat(np.arange(len(part)), np.diff(read.word_at))
+
+            def sums(values, which=slice(None)):
+                return np.bincount(row[which], values, len(part))
+
+            weight = weights.take(read.places)  # 0 for words that are not known
+            shared = np.flatnonzero(own >= SYMBOLS)
+            likelihoods += sums(weight[shared] - inside.take(own[shared] - SYMBOLS), shared)
+            rare = read.words.filter(pa.array(~known)).dictionary_encode()
+            pairs, times = np.unique(row[~known] * len(rare.dictionary) + rare.indices.to_numpy(), return_counts=True)
+            of, word = np.divmod(pairs, max(len(rare.dictionary), 1))
+            listed = pa.StructArray.from_arrays([rare.dictionary.take(pa.array(word)), pa.array(times)], ["word", "times"])
             yield pa.RecordBatch.from_arrays([
-                pa.array(keys, pa.int64()), pa.array(tokens, pa.int64()), pa.array(known, pa.int64()),
-                pa.array(base, pa.float64()), pa.array(likelihoods + np.array(inside)),
-                pa.array([[{"word": w, "times": n} for w, n in r.items()] for r in rare], RARE)], NAMES)
+                part.column(0), pa.array(np.diff(read.at), pa.int64()),
+                pa.array(np.bincount(row[known], minlength=len(part)), pa.int64()),
+                pa.array(sums(weight)), pa.array(likelihoods), pa.ListArray.from_arrays(
+                    pa.array(np.searchsorted(of, np.arange(len(part) + 1)), pa.int32()), listed)], NAMES)
 
     NAMES = ["key", "n_tokens", "known", "base", "inside", "rare"]
-    RARE = pa.list_(pa.struct([("word", pa.binary()), ("times", pa.int64())]))
     part = cut(_texts(docs, text, F.col(key).cast("long").alias("key")).mapInArrow(
         run, "key long, n_tokens long, known long, base double, inside double, "
         "rare array<struct<word: binary, times: long>>").withColumn("row", F.monotonically_increasing_id()))
